@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import canon, neardup, topn
+from newsloom.llm import canon, leakage, mixing, neardup, spans, topn
 from newsloom.runtime import table
 
 
@@ -29,7 +29,39 @@ def p6_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.story_groups(table(spark, d, "raw_items"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p3_found, p6_found, p6_groups)}
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_windows(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "item_id")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).filter("exact > 0").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p8_reparameterised(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).filter("exact = 0").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "changed")
+
+
+def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(_leaks(spark, d))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(*mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spans.sharing_documents(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p10_shared(spark: SparkSession, d: str) -> DataFrame:
+    return spans.shared_amount(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p3_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {
     "p3_found": """
         SELECT source_id, rank_section, ingest_seq FROM (
