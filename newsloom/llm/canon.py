@@ -23,10 +23,8 @@ WIDTH_TAGS = ("<wide>", "<narrow>", "<noBreak>", "<font>")
 # Characters that show nothing (default-ignorable code points).
 IGNORABLE_RANGES = ((0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0xE0000, 0xE0FFF))
 
-#: Text that is its own canonical form by inspection: these never leave the JVM.
-_PLAIN = r"[!-~¡-¬®-´¶-ɏ一-鿿‘’“”–—…。、《》「」]+"
-STABLE = f"^{_PLAIN}( {_PLAIN})*$"
-_PLAIN_EXCLUDED = "[ĲĳǄ-ǌǱ-ǳ]"
+#: In ASCII text, whatever is not a single space between two visible characters.
+UNSETTLED_ASCII = r"[\x00-\x1f\x7f]|  |^ | $"
 
 
 def _in(ranges, cp: int) -> bool:
@@ -71,9 +69,22 @@ def _tables():
             out.append((begin, prev))
         return "".join(f"\\U{a:08x}" if a == b else f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
-    # an unstable run with the character before it, with which its first mark may compose
-    segment = re.compile(f"[^{runs(unstable)}\\s]?[{runs(unstable)}]+")
-    return fold, segment
+    return fold, re.compile(f"[{runs(unstable)}]+")
+
+
+def _splice(text: str) -> str:
+    """Normalise the unstable runs, each with the character before it, with which its first mark may compose."""
+    fold, unstable = _tables()
+    out, done = [], 0
+    for m in unstable.finditer(text):
+        at = max(done, m.start() - 1)
+        out.append(text[done:at])
+        out.append(ud.normalize("NFC", text[at : m.end()].translate(fold)))
+        done = m.end()
+    if not out:
+        return text
+    out.append(text[done:])
+    return "".join(out)
 
 
 _LIKE = {**CYRILLIC_LIKE, **GREEK_LIKE}
@@ -150,8 +161,7 @@ def canonical_text(text: str | None) -> str | None:
     if text is None:
         return None
     if not text.isascii():
-        fold, segment = _tables()
-        text = segment.sub(lambda m: ud.normalize("NFC", m.group().translate(fold)), text)
+        text = _splice(text)
         if not ud.is_normalized("NFC", text):  # a removed character had stood between a base and its mark
             text = ud.normalize("NFC", text)
         if _FOREIGN.search(text):
@@ -165,9 +175,9 @@ def _canonical(values: pa.Array) -> pa.Array:
 
 
 def canonical(col: Column) -> Column:
-    """`canonical_text` as a column. Values that are stable by inspection stay in the JVM."""
-    stable = col.rlike(STABLE) & ~col.rlike(_PLAIN_EXCLUDED)
-    return F.when(stable, col).otherwise(_canonical(F.when(~stable, col)))
+    """`canonical_text` as a column. ASCII values with settled blanks stay in the JVM."""
+    stable = (F.octet_length(col) == F.length(col)) & ~col.rlike(UNSETTLED_ASCII)
+    return F.coalesce(_canonical(F.when(~stable, col)), col)
 
 
 def canonicalise(df: DataFrame, columns: list[str]) -> DataFrame:
