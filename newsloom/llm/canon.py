@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.runtime import pin_table
+
 # Letters of Greek and Cyrillic that are drawn like a Latin letter.
 CYRILLIC_LIKE = dict(zip("АВЕЅІЈКМНОРСТУХҮԌԚԜаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTYXYGQWaesijopcyxhdqwl"))
 GREEK_LIKE = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρ", "ABEZHIKMNOPTYXovp"))
@@ -190,14 +192,15 @@ def equal_looking_pairs(df: DataFrame, id_col: str, columns: list[str]) -> DataF
 
     (field_name, a, b), a < b. Null and '' take no part; repeated rows pair with the variants only. The
     distinct variants of a form are paired first and rows join to them, so a form stored a million times
-    in one way costs nothing: work follows the size of the result.
+    in one way costs nothing: work follows the size of the result. The forms' fingerprints are written
+    once, so the text is normalised once.
     """
     cells = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("v")) for c in columns])).alias("c"))
     cells = cells.select("_id", "c.field_name", "c.v").filter(F.col("v") != "")
     form = canonical(F.col("v"))
-    rows = cells.select("_id", "field_name", form.alias("form"), F.xxhash64("v").alias("v")).select(
+    rows = pin_table(cells.select("_id", "field_name", form.alias("form"), F.xxhash64("v").alias("v")).select(
         "_id", F.xxhash64(F.col("field_name"), F.col("form")).alias("k1"), F.xxhash64(F.lit(7), F.col("form"), F.col("field_name")).alias("k2"), "v", (F.array_position(F.array(*map(F.lit, columns)), F.col("field_name")) - 1).cast("tinyint").alias("f"),
-    )
+    ))
     variants = rows.select("k1", "k2", "v").distinct()
     several = variants.groupBy("k1", "k2").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter("lo < hi").select("k1", "k2")
     variants = variants.join(several, ["k1", "k2"])
