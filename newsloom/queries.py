@@ -5,7 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-FLAGSHIP = ""
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from newsloom.operators import timestamps
+from newsloom.runtime import table
+
+FLAGSHIP = "p7_found"
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return timestamps.to_instants(table(spark, d, "raw_items"), table(spark, d, "source_clock")).select("ingest_seq", "published_us")
+
+
+def p7_zone_estimates(spark: SparkSession, d: str) -> DataFrame:
+    """The zone each source's arrivals alone suggest, beside the stated one."""
+    clocks = table(spark, d, "source_clock")
+    names = sorted({r[0] for r in clocks.select("zone_name").distinct().limit(1000).collect() if r[0]})
+    items = table(spark, d, "raw_items").join(clocks.select("source_id", "date_order"), "source_id", "left")
+    own = items.select(F.col("source_id").alias("source"), "published_at", "date_order", timestamps.utc_micros(items, "fetched_at").alias("arrived_us"))
+    p = timestamps.parse_notation(own, "published_at", "date_order")
+    dated = p.filter("local_us is not null and offset_s is null and abbr is null and zone is null and local_us % 86400000000 <> 0")
+    found = timestamps.estimate_zones(dated.select("source", "local_us", "arrived_us"), names)
+    return found.join(clocks.select(F.col("source_id").alias("source"), F.col("zone_name").alias("stated_zone")), "source", "left")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_found, p7_zone_estimates)}
 ORACLE: dict[str, str] = {}
