@@ -142,19 +142,20 @@ def page_lines(lines: list[str], low: list[bool], heads: list[bool]) -> list[int
     return sorted(i + 1 for i in out)
 
 
-def _classify(everywhere: dict[int, bool] | None, of_host: dict[str, dict[int, bool]] | None):
+def _flags(model, host, lines, keys) -> tuple[list[bool], list[bool]]:
+    if model.of_host is None:
+        marked = {m["at"]: m["heads"] for m in keys or ()}
+        return [i in marked for i in range(len(lines))], [marked.get(i, False) for i in range(len(lines))]
+    own = model.of_host.get(host, {})
+    return [k in own or k in model.everywhere for k in keys], [own.get(k, model.everywhere.get(k, False)) for k in keys]
+
+
+def _classify(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, numbers = [], []
             for id_, host, lines, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if of_host is None:
-                    marked = {m["at"]: m["heads"] for m in keys or ()}
-                    low, heads = [i in marked for i in range(len(lines))], [marked.get(i, False) for i in range(len(lines))]
-                else:
-                    own = of_host.get(host, {})
-                    low = [k in own or k in everywhere for k in keys]
-                    heads = [own.get(k, everywhere.get(k, False)) for k in keys]
-                found = page_lines(lines, low, heads)
+                found = page_lines(lines, *_flags(model, host, lines, keys))
                 ids += [id_] * len(found)
                 numbers += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())], names=["id", "line_no"])
@@ -162,42 +163,80 @@ def _classify(everywhere: dict[int, bool] | None, of_host: dict[str, dict[int, b
     return run
 
 
+def _rest(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rest = [], []
+            for id_, host, lines, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                gone = set(page_lines(lines, *_flags(model, host, lines, keys)))
+                ids.append(id_)
+                rest.append([x for i, x in enumerate(lines, 1) if x and i not in gone])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rest, pa.list_(pa.string()))], names=["id", "rest"])
+
+    return run
+
+
 def _pages(df: DataFrame, id_col: str, host_col: str, body_col: str) -> DataFrame:
     own = df.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(body_col).alias("body")).filter("body <> ''")
     # two generated columns: later projections would else repeat the pattern work for every use
     return own.withColumn("lines", F.explode(F.array(_lines(F.col("body"))))).drop("body").withColumn("keys", F.explode(F.array(_keys(F.col("lines")))))
 
 
-def furniture_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree()) -> DataFrame:
+@dataclass(frozen=True)
+class Model:
+    """The low nodes of every host's tree: held here up to `blocks_over`, else as a table to join (of_host is None)."""
+
+    everywhere: dict
+    of_host: dict | None
+    nodes: DataFrame | None = None
+
+    def __reduce__(self):  # the table stays on the driver
+        return (Model, (self.everywhere, self.of_host))
+
+
+def fit(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree()) -> Model:
+    """Merge the pages of every host and keep the nodes whose importance is low."""
+    nodes = pin_table(low_nodes(_pages(df, id_col, host_col, body_col), tree))
+    if nodes.count() > tree.blocks_over:
+        return Model({}, None, nodes)
+    of_host: dict = {}
+    for r in nodes.select("host", "key", "heads").toLocalIterator():  # at most blocks_over rows
+        of_host.setdefault(r["host"], {})[r["key"]] = r["heads"]
+    return Model(of_host.pop(None, {}), of_host)
+
+
+def _marked(pages: DataFrame, model: Model) -> DataFrame:
+    if model.of_host is not None:
+        return pages.select("id", "host", "lines", "keys")
+    each = pages.select("id", "host", F.posexplode("keys").alias("at", "key")).filter("key is not null")
+    nodes = model.nodes
+    wide = each.join(nodes.filter("host is null").select("key", "heads"), "key").select("id", "at", "heads", F.lit(0).alias("o"))
+    low = wide.union(each.join(nodes.filter("host is not null"), ["key", "host"]).select("id", "at", "heads", F.lit(1)))
+    low = low.groupBy("id", "at").agg(F.max_by("heads", "o").alias("heads"))
+    marked = low.groupBy("id").agg(F.collect_list(F.struct("at", "heads")).alias("keys"))  # lines of one page
+    return pages.select("id", "host", "lines").join(marked, "id", "left").select("id", "host", "lines", "keys")
+
+
+def furniture_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree(), model: Model | None = None) -> DataFrame:
     """(id, line_no) of every non-blank line that belongs to the page around the article.
 
     Method: site style trees. The pages of a host are merged line by line into nodes, which gain or lose
     importance by the entropy of the stories they stand beside; low nodes are removed from each page with
     their branches. Null and empty bodies give no rows; a page of one long line keeps it; repeated pages
-    count as one story; a null host is a host of its own; other columns are ignored.
+    count as one story; a null host is a host of its own; other columns are ignored. A repeated id gives
+    the lines of each of its rows.
     """
-    pages = _pages(df, id_col, host_col, body_col)
-    nodes = pin_table(low_nodes(pages, tree))
-    schema = "id bigint, line_no int"
-    if nodes.count() <= tree.blocks_over:
-        of_host: dict = {}
-        for r in nodes.select("host", "key", "heads").toLocalIterator():  # at most blocks_over rows
-            of_host.setdefault(r["host"], {})[r["key"]] = r["heads"]
-        everywhere = of_host.pop(None, {})
-        found = pages.select("id", "host", "lines", "keys").mapInArrow(_classify(everywhere, of_host), schema)
-    else:
-        each = pages.select("id", "host", F.posexplode("keys").alias("at", "key")).filter("key is not null")
-        wide = each.join(nodes.filter("host is null").select("key", "heads"), "key").select("id", "at", "heads", F.lit(0).alias("o"))
-        low = wide.union(each.join(nodes.filter("host is not null"), ["key", "host"]).select("id", "at", "heads", F.lit(1)))
-        low = low.groupBy("id", "at").agg(F.max_by("heads", "o").alias("heads"))
-        marked = low.groupBy("id").agg(F.collect_list(F.struct("at", "heads")).alias("keys"))  # lines of one page
-        found = pages.select("id", "host", "lines").join(marked, "id", "left").select("id", "host", "lines", "keys").mapInArrow(_classify(None, None), schema)
-    return found.select(F.col("id").alias(id_col), "line_no").distinct()
+    model = model or fit(df, id_col, host_col, body_col, tree)
+    found = _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_classify(model), "id bigint, line_no int")
+    return found.select(F.col("id").alias(id_col), "line_no")
+
+
+def remaining_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree(), model: Model | None = None) -> DataFrame:
+    """(id, rest): the non-blank lines of each page that are not furniture."""
+    model = model or fit(df, id_col, host_col, body_col, tree)
+    return _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_rest(model), "id bigint, rest array<string>")
 
 
 def main_text(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree()) -> DataFrame:
-    """(id, main_text): each page's own lines, joined by line breaks; '' where nothing is left, null for null."""
-    drop = furniture_lines(df, id_col, host_col, body_col, tree).groupBy(id_col).agg(F.collect_set("line_no").alias("gone"))
-    own = df.select(id_col, F.split(body_col, "\n").alias("l")).join(drop, id_col, "left")
-    kept = F.filter("l", lambda x, i: ~F.coalesce(F.array_contains("gone", i + 1), F.lit(False)))
-    return own.select(id_col, F.regexp_replace(F.concat_ws("\n", kept), r"(?U)^\s+|\s+$", "").alias("main_text"))
+    """(id, main_text): each page's own lines, joined by line breaks; '' where nothing is left. Null and empty bodies give no row."""
+    return remaining_lines(df, id_col, host_col, body_col, tree).select(F.col("id").alias(id_col), F.concat_ws("\n", "rest").alias("main_text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import canon, leakage, mixing, neardup, spans, topn
+from newsloom.llm import boilerplate, canon, leakage, mixing, neardup, residue, spans, topn
 from newsloom.runtime import table
 
 
@@ -17,10 +17,25 @@ def p1_canonical(spark: SparkSession, d: str) -> DataFrame:
     return canon.canonicalise(table(spark, d, "raw_items").select("ingest_seq", "title", "summary"), ["title", "summary"])
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "raw_items")
+    model = boilerplate.fit(items)
+    bodies = residue.residue(items, model=model).filter("field_name = 'body_text'").select("ingest_seq")
+    return boilerplate.furniture_lines(items, model=model).join(bodies, "ingest_seq", "left_anti")
+
+
+def p2_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.main_text(table(spark, d, "raw_items"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return topn.best_ranked(table(spark, d, "raw_items")).select("source_id", "rank_section", "ingest_seq")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue(table(spark, d, "raw_items"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return neardup.pairs_within(neardup.story_groups(table(spark, d, "raw_items")), "ingest_seq")
 
@@ -61,7 +76,7 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_amount(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p3_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {
     "p3_found": """
         SELECT source_id, rank_section, ingest_seq FROM (
