@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import boilerplate, canon, leakage, mixing, neardup, residue, spans, topn
+from newsloom.llm import boilerplate, canon, leakage, mixing, neardup, residue, spans, topn, truncation
 from newsloom.runtime import table
 
 
@@ -32,6 +32,20 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return topn.best_ranked(table(spark, d, "raw_items")).select("source_id", "rank_section", "ingest_seq")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_values(table(spark, d, "raw_items"), "ingest_seq", ["title", "summary"]).select("ingest_seq", "field_name")
+
+
+def p4_rates(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "raw_items")
+    cuts = truncation.cut_values(items, "ingest_seq", ["title", "summary"])
+    return truncation.cut_rates(items, cuts, "ingest_seq", "source_id", ["title", "summary"])
+
+
+def p4_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_values(table(spark, d, "raw_items"), "ingest_seq", ["title", "summary"])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue(table(spark, d, "raw_items"))
 
@@ -76,7 +90,7 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_amount(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p4_found, p4_rates, p4_reasons, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {
     "p3_found": """
         SELECT source_id, rank_section, ingest_seq FROM (
