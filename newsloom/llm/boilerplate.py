@@ -22,15 +22,14 @@ get the app download app herunterladen descarga téléchargez скачайте 
 comments kommentare comentarios commentaires комментари 评论 join the conversation
 listen to anhören escuch écout слуша 收听
 """.split("\n")
-CONSENT = r"(?i)cookies?\b|cookie|consent at any time|similar identifiers|storage technologies|small files on your device|ähnliche technologien|traceurs|rastreadores|隐私说明|同类技术"
-RIGHTS = r"(?i)^(©|\(c\) ?\d{4}|copyright\b|版权所有)|all rights reserved|rechte vorbehalten|derechos reservados|droits réservés|права защищены|未经授权|without consent is not allowed"
+CONSENT = ("cookie", "consent at any time", "similar identifiers", "storage technologies", "small files on your device", "ähnliche technologien", "traceurs", "rastreadores", "隐私说明", "同类技术")
+RIGHTS = ("all rights reserved", "rechte vorbehalten", "derechos reservados", "droits réservés", "права защищены", "未经授权", "without consent is not allowed")
+RIGHTS_OPEN = ("©", "(c) 1", "(c) 2", "copyright", "版权所有")
 
 _SENTENCE = re.compile(r"[.!?。！？…]['\"”’»）)]?$")
-_BULLET = re.compile(r"^([-*•–—▪●]|\d{1,2}[.)、])\s*\S")
 _DASHED = re.compile(r"^[-*•–—▪●]\s*\S")
+_MARKS = ("|", "·", "•", "›", "»", "/", "≡", "  ")
 _SPLIT = re.compile(r"\s*[|·•›»/≡]\s*|\s{2,}")
-_RIGHTS = re.compile(RIGHTS)
-_CONSENT = re.compile(CONSENT)
 
 
 def _widget_pattern() -> re.Pattern:
@@ -61,7 +60,7 @@ class StyleTree:
 
 
 def _lines(body: Column) -> Column:
-    return F.transform(F.split(body, "\n"), lambda x: F.regexp_replace(x, r"(?U)^[\s﻿​]+|[\s﻿​]+$", ""))
+    return F.transform(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c\u0085\u00a0\u2003\u2009\u200b\u202f\u3000\ufeff")))
 
 
 def _keys(lines: Column) -> Column:
@@ -84,7 +83,7 @@ def low_nodes(pages: DataFrame, tree: StyleTree) -> DataFrame:
     story = F.array_max(F.transform("lines", lambda x: F.struct(F.length(x).alias("n"), F.xxhash64(x).alias("h"))))["h"]
     both = F.filter(F.arrays_zip("keys", F.transform("lines", _sentence_like).alias("s")), lambda x: x["keys"].isNotNull())
     each = pages.select("host", story.alias("story"), F.explode(F.array(both)).alias("both")).select("host", "story", F.explode(F.transform("both", lambda x, i: F.struct(x["keys"].alias("key"), x["s"].alias("s"), F.coalesce(F.get(F.col("both"), i - 1)["s"], F.lit(False)).cast("int").alias("p")))).alias("l"))
-    count = each.select("host", "story", "l.*").repartition("key", "story").groupBy("key", "story", "host").agg(F.count("*").alias("n"), F.max("s").alias("s"), F.sum("p").alias("p"))
+    count = each.select("host", "story", "l.*").filter("key is not null").repartition("key", "story").groupBy("key", "story", "host").agg(F.count("*").alias("n"), F.max("s").alias("s"), F.sum("p").alias("p"))  # one shuffle serves both uses
     h = lambda n: F.log2(F.sum(n)) - F.sum(n * F.log2(n)) / F.sum(n)
     whole = (
         count.groupBy("key", "story").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.max("s").alias("s"), F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(host), 64) as int)))").alias("hosts"))
@@ -98,12 +97,22 @@ def low_nodes(pages: DataFrame, tree: StyleTree) -> DataFrame:
 
 
 def _is_links(line: str) -> bool:
+    if not any(c in line for c in _MARKS):
+        return False
     parts = [p for p in _SPLIT.split(line) if p]
     return len(parts) >= 3 and max(map(len, parts)) <= 24 and not _SENTENCE.search(line) and not _DASHED.match(line)
 
 
+def _is_rights(line: str) -> bool:
+    low = line.lower()
+    return low.startswith(RIGHTS_OPEN) or any(k in low for k in RIGHTS)
+
+
 def _is_consent(line: str) -> bool:
-    return len(line) < 220 and not any(c in line for c in "\"“0123456789") and bool(_CONSENT.search(line))
+    if len(line) >= 220:
+        return False
+    low = line.lower()
+    return any(k in low for k in CONSENT) and not any(c in line for c in "\"“0123456789")
 
 
 def page_lines(lines: list[str], low: list[bool], heads: list[bool]) -> list[int]:
@@ -126,7 +135,7 @@ def page_lines(lines: list[str], low: list[bool], heads: list[bool]) -> list[int
         while j < n and text[j] and len(text[j]) <= 40 and not _DASHED.match(text[j]) and (low[j] or not sentence[j]):
             buttons.add(j)
             j += 1
-    bad = {i for i in full if i in consent or i in buttons or low[i] or _is_links(text[i]) or _RIGHTS.search(text[i])}
+    bad = {i for i in full if i in consent or i in buttons or low[i] or _is_links(text[i]) or _is_rights(text[i])}
     for i in full:
         if i not in bad or i in out:
             continue
@@ -163,15 +172,21 @@ def _classify(model):
     return run
 
 
-def _rest(model):
+def _parted(model, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rest = [], []
+            ids, gone, rest, size = [], [], [], []
             for id_, host, lines, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                gone = set(page_lines(lines, *_flags(model, host, lines, keys)))
+                found = page_lines(lines, *_flags(model, host, lines, keys))
+                out = set(found)
+                kept = [x for i, x in enumerate(lines, 1) if x and i not in out]
                 ids.append(id_)
-                rest.append([x for i, x in enumerate(lines, 1) if x and i not in gone])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rest, pa.list_(pa.string()))], names=["id", "rest"])
+                gone.append(found)
+                size.append(sum(map(len, kept)))
+                rest.append(kept if wanted is None else wanted(kept, size[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(size, pa.int64()), pa.array(rest, pa.list_(pa.string()))], names=["id", "gone", "size", "rest"]
+            )
 
     return run
 
@@ -231,12 +246,15 @@ def furniture_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "
     return found.select(F.col("id").alias(id_col), "line_no")
 
 
-def remaining_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree(), model: Model | None = None) -> DataFrame:
-    """(id, rest): the non-blank lines of each page that are not furniture."""
+def parted_pages(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree(), model: Model | None = None, wanted=None) -> DataFrame:
+    """(id, gone, size, rest): the numbers of each page's furniture lines, how many characters the others hold and those others.
+
+    `wanted(lines, size)` may pick which of the others are carried along; `size` counts all.
+    """
     model = model or fit(df, id_col, host_col, body_col, tree)
-    return _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_rest(model), "id bigint, rest array<string>")
+    return _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_parted(model, wanted), "id bigint, gone array<int>, size bigint, rest array<string>")
 
 
 def main_text(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree()) -> DataFrame:
     """(id, main_text): each page's own lines, joined by line breaks; '' where nothing is left. Null and empty bodies give no row."""
-    return remaining_lines(df, id_col, host_col, body_col, tree).select(F.col("id").alias(id_col), F.concat_ws("\n", "rest").alias("main_text"))
+    return parted_pages(df, id_col, host_col, body_col, tree).select(F.col("id").alias(id_col), F.concat_ws("\n", "rest").alias("main_text"))

@@ -19,9 +19,10 @@ def p1_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "raw_items")
-    model = boilerplate.fit(items)
-    bodies = residue.residue(items, model=model).filter("field_name = 'body_text'").select("ingest_seq")
-    return boilerplate.furniture_lines(items, model=model).join(bodies, "ingest_seq", "left_anti")
+    parted = residue.parted_suspects(items)
+    bodies = residue.residue(items, parted=parted).filter("field_name = 'body_text'").select("ingest_seq")
+    lines = parted.select(F.col("id").alias("ingest_seq"), F.explode("gone").alias("line_no"))
+    return lines.join(bodies, "ingest_seq", "left_anti")
 
 
 def p2_main_text(spark: SparkSession, d: str) -> DataFrame:
