@@ -7,21 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.operators import timestamps
+from newsloom.functions import text, times
+from newsloom.operators import events, timestamps
+from newsloom.operators import relational as rel
 from newsloom.runtime import table
+from newsloom.sources import feeds, landing, pages
+from newsloom.streaming import items as stream
+
+FLAGSHIP = "event_ranking"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "raw_items")
+
+
+_KEY = "lower(trim(regexp_replace(coalesce(title,''), '[\\s\\p{Z}]+', ' ', 'g')))"
+_URL = "coalesce(nullif(canonical_url,''), nullif(source_url,''), '')"
+_HOST = "regexp_replace(lower(regexp_extract(coalesce({0},''), '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\\.', '')"
+_WORDS = "list_filter(string_split(trim(regexp_replace(lower(coalesce(title,'')), '[^a-z0-9\\x{4e00}-\\x{9fff}]+', ' ', 'g')), ' '), lambda w: length(w) >= 2)"
 
-FLAGSHIP = "p7_found"
 
+def _url() -> F.Column:
+    return text.first_non_empty(F.col("canonical_url"), F.col("source_url"))
 
+
+# --- timestamps -------------------------------------------------------------------------------
+
+
+@query()
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return timestamps.to_instants(table(spark, d, "raw_items"), table(spark, d, "source_clock")).select("ingest_seq", "published_us")
+    return timestamps.to_instants(_items(spark, d), table(spark, d, "source_clock")).select("ingest_seq", "published_us")
 
 
+@query()
 def p7_zone_estimates(spark: SparkSession, d: str) -> DataFrame:
     """The zone each source's arrivals alone suggest, beside the stated one."""
     clocks = table(spark, d, "source_clock")
     names = sorted({r[0] for r in clocks.select("zone_name").distinct().limit(1000).collect() if r[0]})
-    items = table(spark, d, "raw_items").join(clocks.select("source_id", "date_order"), "source_id", "left")
+    items = _items(spark, d).join(clocks.select("source_id", "date_order"), "source_id", "left")
     own = items.select(F.col("source_id").alias("source"), "published_at", "date_order", timestamps.utc_micros(items, "fetched_at").alias("arrived_us"))
     p = timestamps.parse_notation(own, "published_at", "date_order")
     dated = p.filter("local_us is not null and offset_s is null and abbr is null and zone is null and local_us % 86400000000 <> 0")
@@ -29,5 +64,401 @@ def p7_zone_estimates(spark: SparkSession, d: str) -> DataFrame:
     return found.join(clocks.select(F.col("source_id").alias("source"), F.col("zone_name").alias("stated_zone")), "source", "left")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_found, p7_zone_estimates)}
-ORACLE: dict[str, str] = {}
+@query("SELECT ingest_seq, strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS instant FROM raw_items WHERE regexp_full_match(published_at, '[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|1[0-9]|2[0-8])T[0-9]{2}:[0-9]{2}:[0-9]{2}Z')")
+def iso_instants(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter(F.col("published_at").rlike(r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|1[0-9]|2[0-8])T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"))
+    return x.select("ingest_seq", times.iso_instant(F.col("published_at")).cast("timestamp_ntz").alias("instant"))
+
+
+@query("""SELECT r.ingest_seq, greatest(0, floor(epoch(g.generated_at - r.fetched_at) / 3600))::INT AS hours_before
+          FROM raw_items r JOIN ingest_runs g USING (run_id)""")
+def hours_before_run(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("ingest_seq", "run_id", "fetched_at").join(table(spark, d, "ingest_runs"), "run_id")
+    return x.select("ingest_seq", times.hours_before(F.col("fetched_at").cast("timestamp"), F.col("generated_at").cast("timestamp")).alias("hours_before"))
+
+
+@query("""SELECT r.run_id, count(*) AS n_items FROM raw_items r JOIN ingest_runs g USING (run_id)
+          WHERE r.fetched_at >= g.generated_at - to_hours(g.lookback_hours) AND r.fetched_at <= g.generated_at GROUP BY 1""")
+def within_lookback(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("run_id", "fetched_at").join(table(spark, d, "ingest_runs").select("run_id", "generated_at", "lookback_hours"), "run_id")
+    inside = (F.col("fetched_at") >= F.col("generated_at") - F.make_dt_interval(hours=F.col("lookback_hours"))) & (F.col("fetched_at") <= F.col("generated_at"))
+    return x.filter(inside).groupBy("run_id").agg(F.count("*").alias("n_items"))
+
+
+@query("""SELECT run_id, source_id, count(*) AS n_late, max(fetched_at) AS latest FROM raw_items r JOIN ingest_runs g USING (run_id)
+          WHERE r.fetched_at > g.generated_at GROUP BY 1, 2""")
+def late_arrivals(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).join(table(spark, d, "ingest_runs").select("run_id", "generated_at"), "run_id").filter("fetched_at > generated_at")
+    return x.groupBy("run_id", "source_id").agg(F.count("*").alias("n_late"), F.max("fetched_at").alias("latest"))
+
+
+# --- deduplication ----------------------------------------------------------------------------
+
+
+@query(f"SELECT ingest_seq FROM (SELECT ingest_seq, row_number() OVER (PARTITION BY {_KEY}, {_URL} ORDER BY ingest_seq) AS rn FROM raw_items) t WHERE rn = 1")
+def dedupe_first_wins(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("ingest_seq", F.lower(text.squeeze(text.missing_as_empty(F.col("title")))).alias("t"), _url().alias("u"))
+    return rel.first_wins(x, [F.col("t"), F.col("u")], [F.col("ingest_seq")]).select("ingest_seq")
+
+
+@query(f"""SELECT source_id, k AS title_key, max(ingest_seq) AS ingest_seq FROM (SELECT source_id, ingest_seq,
+          trim(regexp_replace({_KEY}, '[^a-z0-9\\x{{4e00}}-\\x{{9fff}} ]', '', 'g')) AS k FROM raw_items) t WHERE k <> '' GROUP BY 1, 2""")
+def latest_by_title_key(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("source_id", "ingest_seq", text.title_key(text.missing_as_empty(F.col("title"))).alias("title_key")).filter("title_key <> ''")
+    return rel.last_wins(x, [F.col("source_id"), F.col("title_key")], [F.col("ingest_seq")])
+
+
+@query(f"""SELECT p AS page, count(*) AS n_rows, count(DISTINCT source_id) AS n_sources FROM (SELECT source_id,
+          regexp_replace(regexp_replace(source_url, '[?#].*$', ''), '/+$', '') AS p FROM raw_items WHERE source_url <> '') t GROUP BY 1""")
+def pages_by_address(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter("source_url <> ''").select("source_id", text.page_address(F.col("source_url")).alias("page"))
+    return x.groupBy("page").agg(F.count("*").alias("n_rows"), F.count_distinct("source_id").alias("n_sources"))
+
+
+@query("""SELECT count(*) AS n_rows, count(*) FILTER (WHERE a = b) AS n_same FROM (SELECT
+          regexp_replace(regexp_replace(source_url, '[?#].*$', ''), '/+$', '') AS a, regexp_replace(regexp_replace(canonical_url, '[?#].*$', ''), '/+$', '') AS b
+          FROM raw_items WHERE source_url <> '' AND canonical_url <> '') t""")
+def address_agreement(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter("source_url <> '' and canonical_url <> ''")
+    return x.agg(F.count("*").alias("n_rows"), F.count_if(text.page_address(F.col("source_url")) == text.page_address(F.col("canonical_url"))).alias("n_same"))
+
+
+@query(f"SELECT h AS host, count(*) AS n FROM (SELECT {_HOST.format('source_url')} AS h FROM raw_items) t GROUP BY 1")
+def items_by_host(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).groupBy(text.host(F.col("source_url")).alias("host")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT ingest_seq, substr(md5(coalesce(source_id,'')||'|'||coalesce(title,'')||'|'||coalesce(published_at,'')),1,10) AS item_id, substr(sha1(coalesce(source_id,'')||'|'||coalesce(source_url,'')||'|'||coalesce(title,'')),1,12) AS candidate_id FROM raw_items")
+def item_ids(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).select(
+        "ingest_seq",
+        text.short_id(10, F.col("source_id"), F.col("title"), F.col("published_at"), algorithm="md5").alias("item_id"),
+        text.short_id(12, F.col("source_id"), F.col("source_url"), F.col("title")).alias("candidate_id"),
+    )
+
+
+# --- order, caps, quotas ----------------------------------------------------------------------
+
+
+@query("""SELECT source_id, run_id, ingest_seq, place FROM (SELECT source_id, run_id, ingest_seq, row_number() OVER (PARTITION BY source_id, run_id ORDER BY
+            CASE WHEN rank_position > 0 THEN 0 ELSE 1 END,
+            CASE WHEN rank_position > 0 THEN rank_position END ASC NULLS LAST, CASE WHEN rank_position > 0 THEN published_at END ASC NULLS LAST, CASE WHEN rank_position > 0 THEN title END ASC NULLS LAST,
+            CASE WHEN coalesce(rank_position,0) <= 0 THEN published_at END DESC NULLS LAST, CASE WHEN coalesce(rank_position,0) <= 0 THEN title END DESC NULLS LAST, ingest_seq) AS place
+          FROM raw_items) t WHERE place <= 20""")
+def source_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Each run's items of a source in listing order, cut at the usual limit."""
+    x = _items(spark, d).select("source_id", "run_id", "ingest_seq", "rank_position", "published_at", "title")
+    _, order = rel.listing_order(F.col("rank_position"), F.col("published_at"), F.col("title"))
+    return rel.capped(x, [F.col("source_id"), F.col("run_id")], [*order, F.col("ingest_seq")], 20).select("source_id", "run_id", "ingest_seq", "place")
+
+
+@query("""WITH lim AS (SELECT run_id, source_id, max(requested_limit) AS lim FROM source_summaries GROUP BY 1, 2),
+          n AS (SELECT r.run_id, r.source_id, l.lim, r.ingest_seq, row_number() OVER (PARTITION BY r.run_id, r.source_id ORDER BY r.ingest_seq) AS place
+                FROM raw_items r JOIN lim l USING (run_id, source_id))
+          SELECT run_id, source_id, ingest_seq FROM n WHERE place <= lim""")
+def requested_limits(spark: SparkSession, d: str) -> DataFrame:
+    """The limit of a source is the greatest its requests ask for."""
+    lim = table(spark, d, "source_summaries").groupBy("run_id", "source_id").agg(F.max("requested_limit").alias("lim"))
+    x = _items(spark, d).select("run_id", "source_id", "ingest_seq").join(lim, ["run_id", "source_id"])
+    return rel.capped(x, [F.col("run_id"), F.col("source_id")], [F.col("ingest_seq")], F.col("lim")).select("run_id", "source_id", "ingest_seq")
+
+
+@query("""WITH k AS (SELECT ingest_seq, source_id, rank_position, row_number() OVER (PARTITION BY source_id ORDER BY rank_position, ingest_seq) AS g FROM raw_items WHERE rank_position > 0)
+          SELECT ingest_seq, source_id, row_number() OVER (ORDER BY rank_position, ingest_seq) AS place FROM k WHERE g <= 3 QUALIFY place <= 100""")
+def capped_and_reranked(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter("rank_position > 0").select("ingest_seq", "source_id", "rank_position")
+    return rel.capped_then_ranked(x, [F.col("source_id")], [F.col("rank_position"), F.col("ingest_seq")], 3, 100).select("ingest_seq", "source_id", "place")
+
+
+_QUOTAS = {"world": 40, "tech": 40, "energy": 30, "policy": 20, "health": 15}
+
+
+@query(f"""WITH base AS (SELECT r.ingest_seq, r.section, coalesce(c.role, 'context') AS role, {_URL} AS u FROM raw_items r LEFT JOIN source_catalog c ON r.source_id = c.id WHERE r.section <> ''),
+          once AS (SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY u ORDER BY ingest_seq) = 1),
+          roles AS (SELECT * FROM once QUALIFY row_number() OVER (PARTITION BY section, role ORDER BY ingest_seq) <= 12),
+          q AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY ingest_seq) AS place FROM roles)
+          SELECT section, role, ingest_seq FROM q WHERE place <= CASE section {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _QUOTAS.items())} ELSE 0 END""")
+def quota_fill(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter("section <> ''").select("ingest_seq", "source_id", "section", _url().alias("u"))
+    x = rel.lookup(x, table(spark, d, "source_catalog"), "source_id", "id", {"role": "context"})
+    return rel.quota_fill(x, F.col("section"), F.col("role"), [F.col("ingest_seq")], 12, _QUOTAS, F.col("u")).select("section", "role", "ingest_seq")
+
+
+@query("SELECT source_id, min(ingest_seq) AS ingest_seq FROM raw_items WHERE fulltext_status = 'full_text_capable' GROUP BY 1")
+def stable_sample(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter("fulltext_status = 'full_text_capable'").select("source_id", "ingest_seq")
+    return rel.first_wins(x, [F.col("source_id")], [F.col("ingest_seq")])
+
+
+# --- sources and runs -------------------------------------------------------------------------
+
+
+@query("""WITH names AS (SELECT id AS name, id, 0 AS o FROM source_catalog UNION ALL SELECT unnest(aliases), id, 1 FROM source_catalog)
+          SELECT name, arg_min(id, (o, id)) AS id FROM names WHERE name IS NOT NULL GROUP BY 1""")
+def catalog_names(spark: SparkSession, d: str) -> DataFrame:
+    return rel.with_aliases(table(spark, d, "source_catalog"), "id", "aliases").filter("name is not null")
+
+
+@query("""SELECT coalesce(c.tier, 'T2') AS tier, coalesce(c.source_group, 'media') AS source_group, coalesce(c.role, 'discovery') AS role, count(*) AS n
+          FROM raw_items r LEFT JOIN source_catalog c ON r.source_id = c.id GROUP BY 1, 2, 3""")
+def items_by_source_kind(spark: SparkSession, d: str) -> DataFrame:
+    x = rel.lookup(_items(spark, d).select("source_id"), table(spark, d, "source_catalog"), "source_id", "id", {"tier": "T2", "source_group": "media", "role": "discovery"})
+    return x.groupBy("tier", "source_group", "role").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT source_id FROM raw_items WHERE source_id NOT IN (SELECT id FROM source_catalog WHERE id IS NOT NULL)")
+def sources_without_catalog(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).select("source_id").distinct().join(table(spark, d, "source_catalog").select(F.col("id").alias("source_id")), "source_id", "left_anti")
+
+
+@query("""SELECT s.run_id, s.source_id, coalesce(s.source_name, c.name, s.source_id) AS label, s.output_count, coalesce(n.n, 0) AS n_delivered
+          FROM source_summaries s LEFT JOIN source_catalog c ON s.source_id = c.id
+          LEFT JOIN (SELECT run_id, source_id, count(*) AS n FROM raw_items GROUP BY 1, 2) n ON s.run_id = n.run_id AND s.source_id = n.source_id""")
+def run_source_counts(spark: SparkSession, d: str) -> DataFrame:
+    n = _items(spark, d).groupBy("run_id", "source_id").agg(F.count("*").alias("n"))
+    c = table(spark, d, "source_catalog").select(F.col("id").alias("source_id"), "name")
+    x = table(spark, d, "source_summaries").join(c, "source_id", "left").join(n, ["run_id", "source_id"], "left")
+    return x.select("run_id", "source_id", F.coalesce("source_name", "name", "source_id").alias("label"), "output_count", F.coalesce("n", F.lit(0)).alias("n_delivered"))
+
+
+@query("SELECT run_id, source_id, status, error FROM source_summaries WHERE status <> 'ok' OR output_count = 0")
+def source_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "source_summaries").filter("status <> 'ok' or output_count = 0").select("run_id", "source_id", "status", "error")
+
+
+@query("""SELECT 'fulltext_status' AS dimension, fulltext_status AS value, count(*) AS n FROM raw_items GROUP BY 2
+          UNION ALL SELECT 'section', section, count(*) FROM raw_items GROUP BY 2 UNION ALL SELECT 'discovery_method', discovery_method, count(*) FROM raw_items GROUP BY 2""")
+def distributions(spark: SparkSession, d: str) -> DataFrame:
+    return rel.distributions(_items(spark, d), ["fulltext_status", "section", "discovery_method"])
+
+
+@query("SELECT t AS tag, count(*) AS n FROM (SELECT unnest(source_tags) AS t FROM raw_items) x WHERE t IS NOT NULL GROUP BY 1 ORDER BY n DESC, tag ASC LIMIT 40")
+def commonest_tags(spark: SparkSession, d: str) -> DataFrame:
+    return rel.counted(_items(spark, d).select(F.explode("source_tags").alias("t")).filter("t is not null"), F.col("t"), "tag", 40)
+
+
+@query("""WITH n AS (SELECT source_id, section, count(*) AS n, min(ingest_seq) AS seen FROM raw_items WHERE section <> '' GROUP BY 1, 2)
+          SELECT source_id, arg_min(section, (-n, seen)) AS section, max(n) AS n FROM n GROUP BY 1""")
+def usual_section(spark: SparkSession, d: str) -> DataFrame:
+    return rel.most_common(_items(spark, d).filter("section <> ''"), ["source_id"], "section", "ingest_seq")
+
+
+@query("""WITH v AS (SELECT source_id, unnest(source_tags) AS tag, CASE WHEN rank_position > 0 THEN 1.0 / rank_position ELSE 0.02 END AS w FROM raw_items),
+          s AS (SELECT source_id, tag, sum(w) AS score FROM v WHERE tag IS NOT NULL GROUP BY 1, 2)
+          SELECT source_id, arg_min(tag, (-round(score, 6), tag)) AS tag FROM s GROUP BY 1""")
+def tag_vote(spark: SparkSession, d: str) -> DataFrame:
+    w = F.when(F.col("rank_position") > 0, F.lit(1.0) / F.col("rank_position")).otherwise(F.lit(0.02))
+    v = _items(spark, d).select("source_id", F.explode("source_tags").alias("tag"), w.alias("w")).filter("tag is not null")
+    s = v.groupBy("source_id", "tag").agg(F.round(F.sum("w"), 6).alias("score"))
+    return rel.voted(s, ["source_id"], "tag", "score").select("source_id", "tag")
+
+
+@query("""SELECT source_id, count(*) FILTER (WHERE fulltext_status = 'full_text_capable') AS capable, count(*) FILTER (WHERE fulltext_status = 'partial_only') AS partial,
+          count(*) FILTER (WHERE fulltext_status = 'mixed') AS mixed, count(*) AS total FROM raw_items GROUP BY 1""")
+def capability_report(spark: SparkSession, d: str) -> DataFrame:
+    c = lambda v: F.count_if(F.col("fulltext_status") == v)
+    return _items(spark, d).groupBy("source_id").agg(c("full_text_capable").alias("capable"), c("partial_only").alias("partial"), c("mixed").alias("mixed"), F.count("*").alias("total"))
+
+
+# --- text -------------------------------------------------------------------------------------
+
+
+@query(f"SELECT ingest_seq, length(array_to_string(list_sort(list_distinct({_WORDS})), ' ')) AS n_chars, len(list_distinct({_WORDS})) AS n_words FROM raw_items")
+def title_words(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("ingest_seq", F.array_sort(text.word_array(text.missing_as_empty(F.col("title")))).alias("w"))
+    return x.select("ingest_seq", F.length(F.array_join("w", " ")).cast("bigint").alias("n_chars"), F.size("w").cast("bigint").alias("n_words"))
+
+
+@query()
+def event_slugs(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).select("ingest_seq", text.slug(text.word_array(text.missing_as_empty(F.col("title")))).alias("slug"))
+
+
+_BUCKETS = {"energy": ["refinery", "turbine", "reactor", "pipeline", "utility"], "finance": ["bond", "bank", "loan", "lender", "ipo"], "policy": ["senate", "treaty", "tribunal", "ai"]}
+
+
+def _hits_sql(words: list[str]) -> str:
+    one = lambda k: f"list_contains(regexp_split_to_array(x, '[^a-z0-9]+'), '{k}')" if len(k) <= 3 else f"contains(x, '{k}')"
+    return " + ".join(f"({one(k)})::INT" for k in words)
+
+
+@query(f"SELECT ingest_seq, {', '.join(f'{_hits_sql(v)} AS {k}' for k, v in _BUCKETS.items())} FROM (SELECT ingest_seq, lower(coalesce(title,'')||' '||coalesce(summary,'')) AS x FROM raw_items) t")
+def keyword_buckets(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("ingest_seq", F.concat(text.missing_as_empty(F.col("title")), F.lit(" "), text.missing_as_empty(F.col("summary"))).alias("x"))
+    return x.select("ingest_seq", *[text.keyword_hits(F.col("x"), v).alias(k) for k, v in _BUCKETS.items()])
+
+
+@query("SELECT ingest_seq FROM raw_items WHERE regexp_matches(lower(coalesce(title,'')), '\\brival\\s+ballot\\b|\\bdraft\\s+treaty\\b') OR contains(coalesce(title,''), '用电价格')")
+def phrase_matches(spark: SparkSession, d: str) -> DataFrame:
+    t = text.missing_as_empty(F.col("title"))
+    return _items(spark, d).filter(text.has_phrase(t, "rival ballot") | text.has_phrase(t, "draft treaty") | text.has_phrase(t, "用电价格")).select("ingest_seq")
+
+
+@query("""SELECT w AS name, count(*) AS n FROM (SELECT DISTINCT ingest_seq, unnest(regexp_extract_all(title, '\\b([A-Z][A-Za-z0-9&.\\-]+)', 1)) AS w FROM raw_items
+          WHERE regexp_full_match(title, '[ -~]*')) t GROUP BY 1""")
+def named_words(spark: SparkSession, d: str) -> DataFrame:
+    """Over titles in ASCII, where the SQL engine's word boundaries agree."""
+    x = _items(spark, d).filter(F.col("title").rlike("^[ -~]*$")).select(F.explode(text.named_words(F.col("title"))).alias("name"))
+    return x.groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT ingest_seq, (length(regexp_replace(coalesce(title,''), '[^A-Za-z]', '', 'g')) >= 8 AND length(regexp_replace(coalesce(title,''), '[^A-Za-z]', '', 'g')) >
+          length(regexp_replace(coalesce(title,''), '[^\\x{4e00}-\\x{9fff}]', '', 'g'))) AS english FROM raw_items""")
+def english_titles(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).select("ingest_seq", text.mostly_english(F.col("title")).alias("english"))
+
+
+@query("SELECT ingest_seq, regexp_extract(summary, '\\bvotes=([0-9]+)', 1)::BIGINT AS votes, regexp_extract(summary, '\\breplies=([0-9]+)', 1)::BIGINT AS replies FROM raw_items WHERE contains(summary, '| votes=')")
+def listing_counters(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter(F.col("summary").contains("| votes="))
+    return x.select("ingest_seq", text.counter_value(F.col("summary"), "votes").alias("votes"), text.counter_value(F.col("summary"), "replies").alias("replies"))
+
+
+@query("""SELECT ingest_seq, len(p) AS n_paragraphs, coalesce(list_sum(list_transform(p, lambda x: length(x))), 0)::BIGINT AS n_chars FROM (SELECT ingest_seq,
+          list_filter(list_transform(string_split(coalesce(body_text,''), chr(10)), lambda x: trim(regexp_replace(x, '[\\s\\p{Z}]+', ' ', 'g'))), lambda x: length(x) >= 20) AS p FROM raw_items) t""")
+def body_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs of 20 characters or more; repeats in a row do not occur in these tables."""
+    x = _items(spark, d).select("ingest_seq", text.paragraphs(F.col("body_text"), 20).alias("p"))
+    return x.select("ingest_seq", F.size("p").cast("bigint").alias("n_paragraphs"), F.aggregate("p", F.lit(0).cast("bigint"), lambda n, v: n + F.length(v)).alias("n_chars"))
+
+
+@query("""SELECT c AS page_class, count(*) AS n FROM (SELECT CASE WHEN n >= 5 AND k >= 1200 THEN 'full' WHEN n >= 2 AND k >= 300 THEN 'mixed' WHEN b THEN 'blocked' ELSE 'partial' END AS c FROM (
+          SELECT len(p) AS n, coalesce(list_sum(list_transform(p, lambda x: length(x))), 0) AS k, b FROM (SELECT coalesce(fulltext_note,'') IN ('http_403_blocked','challenge_or_access_denied') AS b,
+          list_filter(list_transform(string_split(coalesce(body_text,''), chr(10)), lambda x: trim(regexp_replace(x, '[\\s\\p{Z}]+', ' ', 'g'))), lambda x: length(x) >= 20) AS p FROM raw_items) t) u) v GROUP BY 1""")
+def page_classes(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select(text.paragraphs(F.col("body_text"), 20).alias("p"), text.missing_as_empty(F.col("fulltext_note")).isin("http_403_blocked", "challenge_or_access_denied").alias("b"))
+    x = x.select(F.size("p").alias("n"), F.aggregate("p", F.lit(0), lambda n, v: n + F.length(v)).alias("k"), "b")
+    return x.groupBy(pages.page_class(F.lit(200), F.col("n"), F.col("k"), F.col("b")).alias("page_class")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT title FROM raw_items WHERE title <> '' AND title NOT IN (SELECT title FROM raw_items WHERE fulltext_status = 'fulltext' AND title IS NOT NULL)")
+def cache_misses(spark: SparkSession, d: str) -> DataFrame:
+    """Titles a cache built from the full-text items does not hold."""
+    x = _items(spark, d)
+    return rel.cache_misses(x.select("title"), x.filter("fulltext_status = 'fulltext'").select("title").distinct(), "title")
+
+
+@query()
+def title_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """Matching-blocks ratio of the titles that share most of their words."""
+    t = _items(spark, d).select("ingest_seq", "title")
+    pairs = _similar(spark, d).join(t.select(F.col("ingest_seq").alias("a"), F.col("title").alias("x")), "a").join(t.select(F.col("ingest_seq").alias("b"), F.col("title").alias("y")), "b")
+    return pairs.select("a", "b", text.sequence_ratio(F.col("x"), F.col("y")).alias("ratio"))
+
+
+# --- events -----------------------------------------------------------------------------------
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT ingest_seq, {_URL} AS u, trim(regexp_replace({_KEY}, '[^a-z0-9\\x{{4e00}}-\\x{{9fff}} ]', '', 'g')) AS k FROM raw_items),
+          hub AS (SELECT a.ingest_seq AS s, min(b.ingest_seq) AS t FROM n a JOIN n b ON a.u = b.u AND a.u <> '' GROUP BY 1 UNION ALL SELECT a.ingest_seq, min(b.ingest_seq) FROM n a JOIN n b ON a.k = b.k AND a.k <> '' GROUP BY 1),
+          e AS (SELECT s, t FROM hub UNION SELECT t, s FROM hub),
+          c(id, g) AS (SELECT ingest_seq, ingest_seq FROM n UNION SELECT e.t, c.g FROM c JOIN e ON e.s = c.id)
+          SELECT id AS ingest_seq, min(g) AS group_id FROM c GROUP BY 1""")
+def linked_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Items linked by address or title key, directly or through others."""
+    x = _items(spark, d).select("ingest_seq", _url().alias("u"), text.title_key(text.missing_as_empty(F.col("title"))).alias("k"))
+    return events.linked_groups(x, "ingest_seq", [F.col("u"), F.col("k")])
+
+
+_STORY = f"list_sort(list_distinct({_WORDS}))"
+
+
+@query(f"""WITH n AS (SELECT ingest_seq, coalesce(section,'') AS g, fetched_at AS t, {_STORY} AS w FROM raw_items),
+          x AS (SELECT DISTINCT a.ingest_seq AS a, b.ingest_seq AS b FROM (SELECT ingest_seq, g, unnest(w) AS x FROM n) a JOIN (SELECT ingest_seq, g, unnest(w) AS x FROM n) b ON a.x = b.x AND a.g = b.g AND a.ingest_seq < b.ingest_seq)
+          SELECT x.a, x.b, round(len(list_intersect(p.w, q.w)) / len(list_distinct(list_concat(p.w, q.w))), 6) AS similarity FROM x JOIN n p ON x.a = p.ingest_seq JOIN n q ON x.b = q.ingest_seq
+          WHERE len(list_intersect(p.w, q.w)) >= 0.6 * len(list_distinct(list_concat(p.w, q.w))) - 1e-9 AND abs(epoch(p.t)::BIGINT - epoch(q.t)::BIGINT) <= 36 * 3600""")
+def similar_titles(spark: SparkSession, d: str) -> DataFrame:
+    found = _similar(spark, d)
+    return found.select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+def _similar(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select("ingest_seq", text.missing_as_empty(F.col("title")).alias("title"), text.missing_as_empty(F.col("section")).alias("section"), F.date_trunc("second", F.col("fetched_at").cast("timestamp")).alias("at"))
+    return events.similar_titles(x, "ingest_seq", "title", "section", "at", 0.6, 36)
+
+
+@query()
+def first_fit_events(spark: SparkSession, d: str) -> DataFrame:
+    """Buckets of similar titles in delivery order."""
+    x = _items(spark, d).select("ingest_seq", "fetched_at")
+    return events.first_fit(x, _similar(spark, d), "ingest_seq", [F.col("fetched_at")])
+
+
+@query()
+def event_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """The largest events: items linked by address or title, their main item, sources and span, best hundred."""
+    x = _items(spark, d).select("ingest_seq", "source_id", "fetched_at", "rank_position", _url().alias("u"), text.title_key(text.missing_as_empty(F.col("title"))).alias("k"))
+    groups = events.linked_groups(x, "ingest_seq", [F.col("u"), F.col("k")])
+    rank = F.when(F.col("rank_position") > 0, F.col("rank_position")).otherwise(9999)
+    summary = events.group_summary(x, groups, "ingest_seq", "source_id", "fetched_at", [rank.alias("r")])
+    return summary.orderBy(F.desc("n_sources"), F.desc("n_items"), "group_id").limit(100)
+
+
+# --- sources: round trips ---------------------------------------------------------------------
+
+_PRINTABLE = "title IS NOT NULL AND regexp_full_match(title, '[!-~]+( [!-~]+)*') AND source_url <> ''"
+
+
+@query(f"SELECT source_id, title, source_url, count(*) AS n FROM raw_items WHERE {_PRINTABLE} GROUP BY 1, 2, 3")
+def rss_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Items written as one RSS payload per run and source, read back by the feed reader."""
+    x = _items(spark, d).filter(F.col("title").rlike("^[!-~]+( [!-~]+)*$") & (F.col("source_url") != ""))
+    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    item = F.concat(F.lit("<item><title>"), esc(F.col("title")), F.lit("</title><link>"), esc(F.col("source_url")), F.lit("</link></item>"))
+    # a payload is one run's listing of a source: a few hundred items
+    feed = x.groupBy("run_id", "source_id").agg(F.concat(F.lit("<rss><channel><title>t</title>"), F.concat_ws("", F.collect_list(item)), F.lit("</channel></rss>")).alias("payload"))
+    return feeds.rss_items(feed.select("source_id", "payload")).groupBy("source_id", "title", "source_url").agg(F.count("*").alias("n"))
+
+
+@query("SELECT source_id, title, summary, byline, coalesce(source_tags, []) AS source_tags, count(*) AS n FROM raw_items WHERE title <> '' AND regexp_full_match(summary, '[!-%''-;=?-~]+( [!-%''-;=?-~]+)*') AND byline <> '' GROUP BY 1, 2, 3, 4, 5")
+def json_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter(F.col("summary").rlike("^[!-%'-;=?-~]+( [!-%'-;=?-~]+)*$") & (F.col("title") != "") & (F.col("byline") != ""))
+    listing = x.groupBy("run_id", "source_id").agg(F.to_json(F.struct(F.collect_list(F.struct("title", "summary", "byline", "source_tags")).alias("items"))).alias("payload"))
+    got = feeds.json_items(listing.select("source_id", "payload"), "$.items", {"title": "$.title", "summary": ["$.abstract", "$.summary"], "byline": "$.byline", "source_tags": "$.source_tags"})
+    return got.groupBy("source_id", "title", "summary", "byline", "source_tags").agg(F.count("*").alias("n"))
+
+
+# --- streams and events -----------------------------------------------------------------------
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2")
+def hourly_events(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
+@query("""WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+          n AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)::BIGINT AS session FROM s)
+          SELECT user_id, session, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM n GROUP BY 1, 2""")
+def user_sessions(spark: SparkSession, d: str) -> DataFrame:
+    x = rel.sessions(table(spark, d, "events").select("user_id", "ts"), "user_id", "ts", 1800)
+    return x.groupBy("user_id", "session").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+@query("SELECT DISTINCT event_id, event_type FROM events")
+def stream_deduplicated(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as a stream, one row per event id within the watermark."""
+    s = stream.read_stream(spark, f"{d}/events.parquet").withColumn("at", F.col("ts").cast("timestamp"))
+    return stream.run_to_end(stream.deduplicated(s, ["event_id"], "at", "1 hour").select("event_id", "event_type"), "dedup")
+
+
+@query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events
+          WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 30 MINUTE FROM events) GROUP BY 1, 2""")
+def stream_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly counts of the stream, of windows the watermark has closed."""
+    s = stream.read_stream(spark, f"{d}/events.parquet").withColumn("at", F.col("ts").cast("timestamp"))
+    out = stream.windowed_counts(s.select("at", "event_type"), "at", ["event_type"], "1 hour", None, "30 minutes")
+    return stream.run_to_end(out, "windows").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query("SELECT source_id, 'ok' AS status, count(*) AS n FROM source_clock GROUP BY 1 UNION ALL SELECT 'missing', 'failed', 1")
+def landed_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """One landing task per source of the clock table; a source that cannot be read gives a row with its status."""
+    names = [r[0] for r in table(spark, d, "source_clock").select("source_id").distinct().limit(1000).collect()]
+    specs = [{"source_id": n, "protocol": "bytes", "location": f"{d}/source_clock.parquet"} for n in names]
+    import os
+
+    for s in specs:
+        if os.path.isdir(s["location"]):
+            s["location"] = sorted(os.path.join(s["location"], x) for x in os.listdir(s["location"]) if x.endswith(".parquet"))[0]
+    specs.append({"source_id": "missing", "protocol": "bytes", "location": f"{d}/no-such-file"})
+    return landing.read_payloads(spark, specs).groupBy("source_id", "status").agg(F.count("*").alias("n"))
