@@ -28,7 +28,8 @@ def epoch_instant(c: Column) -> Column:
 
 def hours_before(instant: Column, as_of: Column, unknown: int = 999) -> Column:
     """Whole hours from an instant to `as_of`, 0 for later ones, `unknown` for null."""
-    return F.coalesce(F.greatest(F.lit(0), F.floor((F.unix_timestamp(as_of) - F.unix_timestamp(instant)) / 3600).cast("int")), F.lit(unknown))
+    hours = F.floor((F.unix_timestamp(as_of) - F.unix_timestamp(instant)) / 3600).cast("int")
+    return F.when(hours.isNull(), unknown).otherwise(F.greatest(F.lit(0), hours))
 
 
 def address_date(c: Column) -> Column:

@@ -138,20 +138,21 @@ def _instant(local_us: Column, zone: Column) -> Column:
     return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(local_us), zone))
 
 
-def estimate_zones(readings: DataFrame, candidates: list[str], tolerance: float = 0.01) -> DataFrame:
+def estimate_zones(readings: DataFrame, candidates: list[str], tolerance: float = 0.01, least: int = 5) -> DataFrame:
     """(source, zone_name, violations, lag_s) for each source of readings(source, local_us, arrived_us).
 
     Every candidate's offset history turns the local times into instants. An instant after the arrival
     is a violation; of the candidates within `tolerance` of the fewest violations the one with the least
     median lag is taken, that is the easternmost clock that still keeps to the order. Candidates with the
-    same offsets over a source's readings tie and the first by name is taken. Aggregated per source and
+    same offsets over a source's readings tie and the first by name is taken. Sources with fewer than
+    `least` readings get no estimate. Aggregated per source and
     candidate, so a source with a third of all rows costs one partial aggregate per partition.
     """
     each = readings.filter("local_us is not null and arrived_us is not null").withColumn("zone_name", F.explode(F.array(*[F.lit(z) for z in candidates]))) if candidates else readings.withColumn("zone_name", F.lit(None).cast("string")).limit(0)
     lag = (F.col("arrived_us") - _instant(F.col("local_us"), F.col("zone_name"))) / 1e6
     cost = each.withColumn("lag", lag).groupBy("source", "zone_name").agg(
-        F.avg((F.col("lag") < 0).cast("double")).alias("violations"), F.percentile_approx("lag", 0.5, 1000).alias("lag_s")
-    )
+        F.avg((F.col("lag") < 0).cast("double")).alias("violations"), F.percentile_approx("lag", 0.5, 1000).alias("lag_s"), F.count("*").alias("n")
+    ).filter(F.col("n") >= least)
     best = cost.groupBy("source").agg(F.min("violations").alias("least"))
     near = cost.join(best, "source").filter(F.col("violations") <= F.col("least") + tolerance)
     pick = near.groupBy("source").agg(F.min_by(F.struct("zone_name", "violations", "lag_s"), F.struct("lag_s", "zone_name")).alias("p"))
