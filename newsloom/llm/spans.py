@@ -120,79 +120,94 @@ def _postings(p: Doubling):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
-    """Columns with the bounds of whole runs of equal keys; batches are sorted by the key."""
-    kept: list[list[np.ndarray]] = []
-
-    def bounds(cols):
-        k = cols[key]
-        edge = np.flatnonzero(np.r_[True, k[1:] != k[:-1], True])
-        return edge[:-1], edge[1:]
-
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        cols = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
-        if kept and cols[key][-1] == kept[0][key][0]:
-            kept.append(cols)
-            continue
-        cols = [np.concatenate(c) for c in zip(*kept, cols)]
-        begin, end = bounds(cols)
-        kept = [[c[begin[-1] :] for c in cols]]
-        yield cols, begin[:-1], end[:-1]
-    if kept:
-        cols = [np.concatenate(c) for c in zip(*kept)]
-        yield cols, *bounds(cols)
-
-
 def _repeated(level: int):
-    """Keeps the anchors whose window at this level stands in two or more documents."""
+    """Keeps the anchors whose window at this level stands in two or more documents.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = None
-
-        def tee():
-            nonlocal names
-            for b in batches:
-                names = b.schema.names
-                yield b
+    Rows come sorted by window and document, so a run is known to be repeated at its second document: only
+    rows of one document ever wait, however long the run.
+    """
 
-        for cols, begin, end in _runs(tee(), level + 1):
-            if not len(begin):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = first_doc = None
+        several = False
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            doc = cols[0]
-            several = np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc[: end[-1]], begin)
-            keep = np.zeros(len(doc), bool)
-            keep[: end[-1]] = np.repeat(several, end - begin)
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names=names)
+            key, doc = batch.column(level + 1).to_numpy(), batch.column(0).to_numpy()
+            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            end = np.r_[begin[1:], len(key)]
+            many = doc[begin] != doc[end - 1]
+            if key[0] == last:
+                many[0] |= several or doc[end[0] - 1] != first_doc
+                if many[0]:
+                    yield from waiting
+            else:
+                first_doc = None
+            if key[0] != last or many[0] or len(begin) > 1:
+                waiting = []
+            if len(begin) > 1 or key[0] != last:
+                first_doc = doc[begin[-1]]
+            last, several = key[-1], bool(many[-1])
+            yield batch.filter(pa.array(np.repeat(many, end - begin)))
+            if not several:
+                waiting.append(batch.slice(int(begin[-1])))
 
     return run
 
 
 def _pair_up(key: int, limit: int | None):
-    """(a, b, wide): pairs of the documents of a run; a run of more than `limit` documents gives (doc, key, true) rows instead."""
+    """(a, b, wide): pairs of the documents of a run; a run of more than `limit` documents gives (doc, key, true) rows instead.
+
+    A run waits only until it is known to be wide; from there on its documents pass through.
+    """
+
+    def pairs(docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(docs), 256):  # blocks of documents against all later ones
+            part = docs[i : i + 256]
+            x, y = np.repeat(part, len(docs) - i), np.tile(docs[i:], len(part))
+            yield _unique([np.stack([x[x < y], y[x < y], np.zeros(int((x < y).sum()), np.int64)])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols, begin, end in _runs(batches, key):
-            out = []
-            for b, e in zip(begin, end):
-                if e - b < 2:
-                    continue
-                docs = np.unique(cols[0][b:e])
-                if len(docs) < 2:
+        last, docs, wide, out = None, np.empty(0, np.int64), False, []
+
+        def through(d):
+            return np.stack([d, np.full(len(d), last), np.ones(len(d), np.int64)])
+
+        def close():
+            if wide or len(docs) < 2:
+                return
+            if len(docs) <= 256:
+                x, y = np.triu_indices(len(docs), 1)
+                out.append(np.stack([docs[x], docs[y], np.zeros(len(x), np.int64)]))
+            else:
+                yield from pairs(docs)
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            k, d = batch.column(key).to_numpy(), batch.column(0).to_numpy()
+            edge = np.flatnonzero(np.r_[True, k[1:] != k[:-1], True])
+            for b, e in zip(edge[:-1], edge[1:]):
+                own = np.unique(d[b:e])
+                if k[b] != last:
+                    yield from close()
+                    last, docs, wide = k[b], own, False
+                elif wide:
+                    out.append(through(own))
                     continue
+                else:
+                    docs = np.union1d(docs, own)
                 if limit is not None and len(docs) > limit:
-                    out.append(np.stack([docs, np.full(len(docs), cols[key][b]), np.ones(len(docs), np.int64)]))
-                    continue
-                for i in range(0, len(docs), 256):  # blocks of rows against all later ones
-                    part = docs[i : i + 256]
-                    x, y = np.repeat(part, len(docs) - i), np.tile(docs[i:], len(part))
-                    out.append(np.stack([x[x < y], y[x < y], np.zeros(int((x < y).sum()), np.int64)]))
-                    if sum(o.shape[1] for o in out) > 200_000:
-                        yield _unique(out)
-                        out = []
-            if out:
+                    wide = True
+                    out.append(through(docs))
+                    docs = np.empty(0, np.int64)
+            if sum(o.shape[1] for o in out) > 100_000:
                 yield _unique(out)
+                out.clear()
+        yield from close()
+        if out:
+            yield _unique(out)
 
     return run
 
