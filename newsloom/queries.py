@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from newsloom.functions import text, times
 from newsloom.operators import events, timestamps
 from newsloom.operators import relational as rel
+from newsloom.plans import pipeline, rules
 from newsloom.runtime import table
 from newsloom.sources import feeds, landing, pages
 from newsloom.streaming import items as stream
 
-FLAGSHIP = "event_ranking"
+FLAGSHIP = "pipeline_ranking"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -462,3 +463,74 @@ def landed_payloads(spark: SparkSession, d: str) -> DataFrame:
             s["location"] = sorted(os.path.join(s["location"], x) for x in os.listdir(s["location"]) if x.endswith(".parquet"))[0]
     specs.append({"source_id": "missing", "protocol": "bytes", "location": f"{d}/no-such-file"})
     return landing.read_payloads(spark, specs).groupBy("source_id", "status").agg(F.count("*").alias("n"))
+
+
+# --- rules and the whole plan -----------------------------------------------------------------
+
+PACK = rules.RulePack(
+    buckets=_BUCKETS,
+    section_boosts=[("harbor-wire", "energy", "energy", 2)],
+    strong=[("policy", 3, ["treaty", "tribunal"])],
+    fallback={"harbor-wire": "finance"},
+    default="other",
+    tags=[("legal", ["tribunal", "inquiry"]), ("transport", ["ferry", "railway", "airline"]), ("figures", ["percent"])],
+)
+_TEXT = "lower(coalesce(title,'')||' '||coalesce(summary,'')||' '||coalesce(section,''))"
+_STRONG = "CASE WHEN contains(x,'treaty') OR contains(x,'tribunal') THEN 3 ELSE 0 END"
+
+
+@query(f"""WITH t AS (SELECT ingest_seq, coalesce(source_id,'') AS s, lower(coalesce(section,'')) AS sec, {_TEXT} AS x FROM raw_items),
+          n AS (SELECT ingest_seq, s, x, {_hits_sql(_BUCKETS['energy'])} + CASE WHEN s = 'harbor-wire' AND sec = 'energy' THEN 2 ELSE 0 END AS e, {_hits_sql(_BUCKETS['finance'])} AS f, {_hits_sql(_BUCKETS['policy'])} + {_STRONG} AS p FROM t)
+          SELECT ingest_seq, CASE WHEN greatest(e,f,p) = 0 THEN CASE WHEN s = 'harbor-wire' THEN 'finance' ELSE 'other' END WHEN e = greatest(e,f,p) THEN 'energy' WHEN f = greatest(e,f,p) THEN 'finance' ELSE 'policy' END AS bucket,
+          array_to_string(list_slice(list_filter([CASE WHEN contains(x,'tribunal') OR contains(x,'inquiry') THEN 'legal' END, CASE WHEN contains(x,'ferry') OR contains(x,'railway') OR contains(x,'airline') THEN 'transport' END, CASE WHEN contains(x,'percent') THEN 'figures' END], lambda v: v IS NOT NULL), 1, 2), ',') AS tags FROM n""")
+def classified_items(spark: SparkSession, d: str) -> DataFrame:
+    out = rules.classified(_items(spark, d), "ingest_seq", ["title", "summary", "section"], "source_id", "section", PACK)
+    return out.select("ingest_seq", "bucket", F.array_join("tags", ",").alias("tags"))
+
+
+@query("""WITH f AS (SELECT ingest_seq, list_filter([CASE WHEN length(coalesce(title,'')) < 8 THEN 'short title' END, CASE WHEN coalesce(source_url,'') = '' THEN 'no address' END,
+          CASE WHEN fulltext_status = 'metadata_only' THEN 'metadata only' END, CASE WHEN contains(coalesce(summary,''), '| votes=') THEN 'listing' END], lambda v: v IS NOT NULL) AS r FROM raw_items)
+          SELECT ingest_seq, array_to_string(r, ',') AS reasons FROM f WHERE len(r) > 0""")
+def noise_flags(spark: SparkSession, d: str) -> DataFrame:
+    e = text.missing_as_empty
+    drop = {"short title": F.length(e(F.col("title"))) < 8, "no address": e(F.col("source_url")) == "", "metadata only": F.col("fulltext_status") == "metadata_only", "listing": e(F.col("summary")).contains("| votes=")}
+    return pipeline.sifted(_items(spark, d), drop)[1].select("ingest_seq", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""WITH v AS (SELECT ingest_seq, 40.0 + 12.0 * (CASE WHEN coalesce(rank_position,0) > 0 THEN 1.0 / rank_position ELSE 0 END) * 5 + length(coalesce(title,'')) * 0.25 AS raw FROM raw_items)
+          SELECT ingest_seq, greatest(0, least(100, round_even(CASE WHEN raw > 88 THEN 88 + (raw - 88) * 0.5 ELSE raw END, 0)::INT)) AS score FROM v""")
+def soft_capped_scores(spark: SparkSession, d: str) -> DataFrame:
+    inverse = F.when(F.coalesce("rank_position", F.lit(0)) > 0, F.lit(1.0) / F.col("rank_position")).otherwise(0.0)
+    raw = 40.0 + 12.0 * inverse * 5 + F.length(text.missing_as_empty(F.col("title"))) * 0.25
+    return _items(spark, d).select("ingest_seq", rules.soft_capped(raw, 88, 0.5).alias("score"))
+
+
+@query("""WITH h AS (SELECT ingest_seq, (regexp_matches(x, '\\btunnel\\b')::INT + regexp_matches(x, '\\bharbor\\b')::INT) AS a, (regexp_matches(x, '\\bsenate\\b')::INT + regexp_matches(x, '\\btreaty\\b')::INT) AS b
+          FROM (SELECT ingest_seq, lower(title) AS x FROM raw_items WHERE title IS NOT NULL) t),
+          s AS (SELECT ingest_seq, CASE WHEN a > 0 THEN round(least(1.0, 0.35 + 0.18 * a), 3) END AS a, CASE WHEN b > 0 THEN round(least(1.0, 0.35 + 0.18 * b), 3) END AS b FROM h)
+          SELECT ingest_seq, CASE WHEN a IS NULL AND b IS NULL THEN NULL WHEN b IS NULL OR a >= b THEN 'works' ELSE 'state' END AS best FROM s""")
+def best_soft_tag(spark: SparkSession, d: str) -> DataFrame:
+    tags = rules.soft_tags(F.col("title"), {"works": ["tunnel", "harbor"], "state": ["senate", "treaty"]})
+    return _items(spark, d).filter("title is not null").select("ingest_seq", F.get(tags, F.lit(0))["tag"].alias("best"))
+
+
+@query("""WITH e AS (SELECT DISTINCT source_id, ingest_seq, unnest(source_tags) AS t FROM raw_items), n AS (SELECT source_id, lower(t) AS k, count(*) AS n FROM e WHERE t IS NOT NULL GROUP BY 1, 2)
+          SELECT source_id, k AS entity, n FROM n QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY n DESC, k) <= 10""")
+def source_entities(spark: SparkSession, d: str) -> DataFrame:
+    """The ten commonest tags of each source."""
+    e = _items(spark, d).select("source_id", "ingest_seq", F.explode("source_tags").alias("t")).filter("t is not null").distinct()
+    n = e.groupBy("source_id", F.lower("t").alias("entity")).agg(F.count("*").alias("n"))
+    return rel.capped(n, [F.col("source_id")], [F.desc("n"), F.asc("entity")], 10).select("source_id", "entity", "n")
+
+
+@query()
+def title_entities(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).select(F.explode(rules.entities(text.missing_as_empty(F.col("title")))).alias("entity"))
+    return x.groupBy("entity").agg(F.count("*").alias("n"))
+
+
+@query()
+def pipeline_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """The whole plan: deduplicated, sifted, classified and grouped items, the best events of each bucket."""
+    drop = {"listing only": F.coalesce(F.col("fulltext_status"), F.lit("")) == "metadata_only"}
+    return pipeline.item_events(_items(spark, d), PACK, drop).ranking
