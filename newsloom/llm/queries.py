@@ -99,4 +99,14 @@ ORACLE: dict[str, str] = {
             PARTITION BY source_id, rank_section ORDER BY rank_position ASC, fetched_at DESC NULLS LAST, ingest_seq ASC) AS rn
           FROM raw_items WHERE rank_position >= 1 AND rank_section IS NOT NULL AND rank_section <> '') t
         WHERE rn <= 5""",
+    "p8_found": """
+        WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w FROM documents),
+             b AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w FROM benchmark),
+             dw AS (SELECT doc_id, array_to_string(w[i:i + 11], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 12) t),
+             bw AS (SELECT item_id, array_to_string(w[i:i + 11], ' ') AS k FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 11)) AS i FROM b WHERE len(w) >= 12) t)
+        SELECT DISTINCT doc_id, item_id FROM dw JOIN bw USING (k)""",
+    "p10_found": """
+        WITH w AS (SELECT doc_id, md5(substr(text, i, 300)) AS h FROM (SELECT doc_id, text, unnest(generate_series(1, length(text) - 299)) AS i FROM documents WHERE length(text) >= 300) t),
+             d AS (SELECT DISTINCT doc_id, h FROM w), m AS (SELECT h FROM d GROUP BY h HAVING count(*) > 1), k AS (SELECT d.* FROM d SEMI JOIN m USING (h))
+        SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",
 }
