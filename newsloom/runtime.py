@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +30,36 @@ def session(app: str = "newsloom", cores: str = "*", partitions: int = 8) -> Spa
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers once per application, so they need no installation of it."""
+    sc = spark.sparkContext
+    if _shipped.get(sc.applicationId):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="newsloom-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "newsloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(at, f)
+                    z.write(full, os.path.join("newsloom", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _shipped[sc.applicationId] = True
+
+
+_shipped: dict[str, bool] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return sc._jsc.sc().getCheckpointDir().get()
