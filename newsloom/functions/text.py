@@ -179,3 +179,11 @@ def steps(value: Column, bounds: Sequence[tuple[float, float]], otherwise: float
     for limit, result in reversed(list(bounds)):
         out = F.when(value <= limit, float(result)).otherwise(out)
     return out
+
+
+def repair_bytes(c: Column) -> Column:
+    """Text whose UTF-8 bytes were once read as Latin-1, read again; only where it shows the signs and the bytes allow it."""
+    signs = c.rlike("[ÃÂâå-é][\u0080-¿]")
+    narrow = ~c.rlike("[^\u0000-ÿ]")
+    again = F.try_validate_utf8(F.decode(F.encode(c, "ISO-8859-1"), "UTF-8"))
+    return F.when(signs & narrow & ~again.contains("�"), again).otherwise(c)

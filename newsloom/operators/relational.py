@@ -108,3 +108,27 @@ def sessions(df: DataFrame, user: str, at: str, gap_seconds: int) -> DataFrame:
     w = W.partitionBy(user).orderBy(at)
     pause = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.lag(at).over(w).cast("timestamp"))
     return df.withColumn("_new", F.coalesce((pause > gap_seconds * 1_000_000).cast("int"), F.lit(1))).withColumn("session", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+
+
+def decided(pairs: DataFrame, rules: Sequence[tuple[str, Column, bool, Column | float]], otherwise: str = "no rule") -> DataFrame:
+    """Adds merges, reason and confidence of the first rule that holds for each pair; one pass over the pairs.
+
+    A rule is (reason, condition, merges, confidence). A condition that is null does not hold.
+    """
+    out = F.struct(F.lit(False).alias("merges"), F.lit(otherwise).alias("reason"), F.lit(0.0).alias("confidence"))
+    for reason, condition, merges, confidence in reversed(list(rules)):
+        c = confidence if isinstance(confidence, Column) else F.lit(float(confidence))
+        out = F.when(condition, F.struct(F.lit(merges).alias("merges"), F.lit(reason).alias("reason"), c.cast("double").alias("confidence"))).otherwise(out)
+    return pairs.withColumn("_d", F.explode(F.array(out))).select("*", "_d.*").drop("_d")
+
+
+def with_cache(df: DataFrame, key: str, value: str, cache: DataFrame, compute) -> tuple[DataFrame, DataFrame]:
+    """(df with `value`, new cache rows): values come from cache(key, value), the rest from `compute`.
+
+    `compute` gets a DataFrame of the distinct missing keys and returns (key, value); keys it gives
+    nothing for stay null. Null keys are not looked up.
+    """
+    misses = df.select(key).filter(F.col(key).isNotNull()).distinct().join(cache.select(key), key, "left_anti")
+    new = compute(misses).select(key, value)
+    known = cache.select(key, value).unionByName(new)
+    return df.join(known, key, "left"), new

@@ -80,3 +80,54 @@ def test_report(spark):
     rows = report.top_rows(df, "g", [F.col("n")], 2)
     assert [(r["g"], r["n"]) for r in rows] == [("g1", 0), ("g1", 1), ("g2", 9)]
     assert "t\\|0" in report.markdown(rows, "g", ["title"], "R") and "&lt;x&gt;" in report.page(rows, "g", ["title"], "R")
+
+
+def test_registry(spark, tmp_path):
+    from newsloom.sources import registry
+
+    (tmp_path / "r.xml").write_text(RSS)
+    (tmp_path / "m.xml").write_text(SITEMAP)
+    (tmp_path / "j.json").write_text(json.dumps({"items": [{"t": "J", "u": "https://x.example/j"}]}))
+    (tmp_path / "l.html").write_text('<a href="/news/1">First</a><a href="/about">About</a><a href="https://y.example/news/2">Second</a>')
+    sources = [
+        registry.Source("r", "rss", str(tmp_path / "r.xml"), ranked=True, section="world", drop="/b$"),
+        registry.Source("m", "sitemap", str(tmp_path / "m.xml"), options={"marker": "/news/"}),
+        registry.Source("j", "json", str(tmp_path / "j.json"), options={"list_path": "$.items", "fields": {"title": "$.t", "source_url": "$.u"}}),
+        registry.Source("l", "links", str(tmp_path / "l.html"), options={"pattern": "/news/", "base": "https://x.example"}),
+        registry.Source("gone", "rss", str(tmp_path / "none.xml")),
+    ]
+    items, summary = registry.ingest(spark, sources, ["r", "m", "j", "l", "gone", "nobody", "r"])
+    got = {(r["source_id"], r["source_url"], r["rank_position"], r["section"]) for r in items.collect()}
+    assert got == {("r", "https://x.example/a?u=1", 1, "world"), ("m", "https://x.example/news/1", 0, ""), ("j", "https://x.example/j", 0, ""), ("l", "https://x.example/news/1", 1, ""), ("l", "https://y.example/news/2", 2, "")}
+    state = {r["source_id"]: (r["status"], r["n_items"]) for r in summary.collect()}
+    assert state == {"r": ("ok", 1), "m": ("ok", 1), "j": ("ok", 1), "l": ("ok", 2), "gone": ("failed", 0), "nobody": ("missing_adapter", 0)}
+    assert registry.ingest(spark, sources, ["nobody"])[0].count() == 0
+
+
+def test_page_functions(spark):
+    one = spark.range(1)
+    pick = lambda c: one.select(c.alias("x")).first()["x"]
+    a = F.array(F.lit("Subscribe now"), F.lit("Text one"), F.lit("by staff"))
+    assert pick(pages.filtered_paragraphs(a, F.lit("s"), {"s": "^by "}, "subscribe")) == ["Text one"]
+    assert pick(pages.filtered_paragraphs(a, F.lit("t"), {"s": "^by "})) == ["Subscribe now", "Text one", "by staff"]
+    assert pick(pages.host_allowed(F.lit("news.x.example"), ["x.example"])) and not pick(pages.host_allowed(F.lit("ax.example"), ["x.example"]))
+    lines = F.array(*[F.lit(x) for x in ("a", "b", "3:15", "c", "", "d" * 200, "e")])
+    assert pick(pages.posts(lines, r"^\d+:\d\d$")) == ["a b", "c", "d" * 200, "e"]
+    assert pick(pages.balanced_json(F.lit('var x = {"a": "]}", "b": [1]}; y'), F.lit("var x"))) == '{"a": "]}", "b": [1]}'
+    assert pick(pages.balanced_json(F.lit("var x = [1"), F.lit("var x"))) is None
+
+
+def test_repair_and_decisions(spark):
+    from newsloom.functions import text
+    from newsloom.operators import relational as rel
+
+    bad = "Zürich – “quoted”".encode().decode("latin-1")
+    rows = spark.createDataFrame([(bad,), ("Zürich",), ("Ã",), (None,), ("世界",)], "x string")
+    assert [r[0] for r in rows.select(text.repair_bytes(F.col("x"))).collect()] == ["Zürich – “quoted”", "Zürich", "Ã", None, "世界"]
+    pairs = spark.createDataFrame([(1.0, 2), (0.5, 2), (0.1, None)], "s double, n int")
+    rules = [("same", F.col("s") == 1, True, 1.0), ("far", F.col("n") > 1, False, 0.0), ("near", F.col("s") > 0, True, F.col("s"))]
+    assert [(r["merges"], r["reason"], r["confidence"]) for r in rel.decided(pairs, rules).collect()] == [(True, "same", 1.0), (False, "far", 0.0), (True, "near", 0.1)]
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    cache = spark.createDataFrame([("a", "old")], "k string, v string")
+    out, new = rel.with_cache(df, "k", "v", cache, lambda m: m.withColumn("v", F.upper("k")))
+    assert sorted(map(str, (r["v"] for r in out.collect()))) == ["B", "B", "None", "old"] and new.count() == 1
