@@ -534,3 +534,62 @@ def pipeline_ranking(spark: SparkSession, d: str) -> DataFrame:
     """The whole plan: deduplicated, sifted, classified and grouped items, the best events of each bucket."""
     drop = {"listing only": F.coalesce(F.col("fulltext_status"), F.lit("")) == "metadata_only"}
     return pipeline.item_events(_items(spark, d), PACK, drop).ranking
+
+
+# --- reports ----------------------------------------------------------------------------------
+
+
+@query(f"""SELECT k AS title_key, substr(sha1(string_agg(ingest_seq::VARCHAR, '|' ORDER BY ingest_seq::VARCHAR)), 1, 12) AS event_id, count(*) AS n FROM (SELECT ingest_seq,
+          trim(regexp_replace({_KEY}, '[^a-z0-9\\x{{4e00}}-\\x{{9fff}} ]', '', 'g')) AS k FROM raw_items) t WHERE k <> '' GROUP BY 1 HAVING count(*) BETWEEN 2 AND 50""")
+def event_ids(spark: SparkSession, d: str) -> DataFrame:
+    """An id over the members of each small group of one title; larger groups are listings, named by their key alone."""
+    x = _items(spark, d).select("ingest_seq", text.title_key(text.missing_as_empty(F.col("title"))).alias("title_key")).filter("title_key <> ''")
+    size = x.groupBy("title_key").agg(F.count("*").alias("n")).filter("n between 2 and 50")
+    ids = x.join(size, "title_key").groupBy("title_key", "n").agg(F.array_sort(F.collect_list(F.col("ingest_seq").cast("string"))).alias("m"))  # 50 at most
+    return ids.select("title_key", F.substring(F.sha1(F.array_join("m", "|")), 1, 12).alias("event_id"), "n")
+
+
+@query("""SELECT section, ingest_seq, place FROM (SELECT section, ingest_seq, row_number() OVER (PARTITION BY section ORDER BY CASE WHEN rank_position > 0 THEN rank_position ELSE 9999 END, fetched_at DESC, ingest_seq) AS place
+          FROM raw_items WHERE section <> '') t WHERE place <= 15""")
+def section_report(spark: SparkSession, d: str) -> DataFrame:
+    rank = F.when(F.col("rank_position") > 0, F.col("rank_position")).otherwise(9999)
+    x = _items(spark, d).filter("section <> ''").select("section", "ingest_seq", "fetched_at", rank.alias("r"))
+    return rel.capped(x, [F.col("section")], [F.col("r"), F.desc("fetched_at"), F.col("ingest_seq")], 15).select("section", "ingest_seq", "place")
+
+
+@query("""WITH x AS (SELECT c.source_group, r.ingest_seq, r.fetched_at, count(*) OVER (PARTITION BY c.source_group) AS total FROM raw_items r JOIN source_catalog c ON r.source_id = c.id WHERE r.title <> '' AND r.source_url <> '')
+          SELECT source_group, ingest_seq, total FROM x QUALIFY row_number() OVER (PARTITION BY source_group ORDER BY fetched_at DESC, ingest_seq) <= 8""")
+def group_digest(spark: SparkSession, d: str) -> DataFrame:
+    """The latest eight items of each group of sources, with the size of the whole group."""
+    c = table(spark, d, "source_catalog").select(F.col("id").alias("source_id"), "source_group")
+    x = _items(spark, d).filter("title <> '' and source_url <> ''").select("source_id", "ingest_seq", "fetched_at").join(c, "source_id")
+    total = x.groupBy("source_group").agg(F.count("*").alias("total"))
+    top = rel.capped(x, [F.col("source_group")], [F.desc("fetched_at"), F.col("ingest_seq")], 8)
+    return top.join(total, "source_group").select("source_group", "ingest_seq", "total")
+
+
+@query("""SELECT ingest_seq, len(list_filter(string_split(body_text, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_matches(x, '(?i)cookie|all rights reserved'))) AS n FROM raw_items WHERE body_text <> ''""")
+def filtered_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    x = _items(spark, d).filter("body_text <> ''").select("ingest_seq", "source_id", F.filter(F.split("body_text", "\n"), lambda p: F.trim(p) != "").alias("p"))
+    return x.select("ingest_seq", F.size(pages.filtered_paragraphs(F.col("p"), F.col("source_id"), {}, "cookie|all rights reserved")).cast("bigint").alias("n"))
+
+
+@query()
+def pair_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """Similar titles with the first rule that decides them."""
+    t = _items(spark, d).select("ingest_seq", "source_id")
+    pairs = _similar(spark, d).join(t.select(F.col("ingest_seq").alias("a"), F.col("source_id").alias("sa")), "a").join(t.select(F.col("ingest_seq").alias("b"), F.col("source_id").alias("sb")), "b")
+    same = F.col("sa") == F.col("sb")
+    rules_ = [("same title", F.col("similarity") == 1, True, 1.0), ("same source needs more", same & (F.col("similarity") < 0.8), False, 0.0), ("similar", F.lit(True), True, F.col("similarity"))]
+    return rel.decided(pairs, rules_).select("a", "b", "merges", "reason", "confidence")
+
+
+@query("""WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+          n AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s),
+          g AS (SELECT user_id, k, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS e, count(*) AS n FROM n GROUP BY 1, 2)
+          SELECT user_id, start, n FROM g WHERE e <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """User sessions of the event stream that the watermark has closed."""
+    s = stream.read_stream(spark, f"{d}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("at"))
+    out = stream.run_to_end(stream.session_counts(s, "at", ["user_id"], "30 minutes", "10 minutes"), "sessions")
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
