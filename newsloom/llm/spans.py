@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.runtime import pin
+from newsloom.runtime import pin, pin_table
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -99,8 +99,25 @@ def anchors(texts: list[str], p: Doubling) -> tuple[np.ndarray, np.ndarray, Roll
     return owner[at], at, r
 
 
+def _salted(cols: np.ndarray) -> np.ndarray:
+    """Sorts (doc, h0, ...) by first window and document and adds (known, salt).
+
+    A window that two documents of this chunk hold is known to be repeated. One of its rows stays behind
+    under salt 0 to tell other chunks; the others are spread by document, since nothing is left to learn
+    about them. A window in a third of all documents thus meets with one row per chunk.
+    """
+    cols = cols[:, np.lexsort((cols[0], cols[1]))]
+    doc, h = cols[0], cols[1]
+    edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    size = np.diff(np.r_[edge, len(h)])
+    known = np.repeat(doc[edge] != doc[edge + size - 1], size)
+    salt = np.where(known, np.uint64(1) + _mix(doc * _BASE) % np.uint64(63), np.uint64(0))
+    salt[edge] = 0
+    return np.concatenate([cols, known.astype(np.uint64)[None, :], salt[None, :]])
+
+
 def _postings(p: Doubling):
-    names = ["doc", *(f"h{i}" for i in range(p.levels))]
+    names = ["doc", *(f"h{i}" for i in range(p.levels)), "known", "salt"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,16 +129,17 @@ def _postings(p: Doubling):
                     size += len(texts[to])
                     to += 1
                 who, where, r = anchors(texts[at:to], p)
-                cols = np.stack([docs[at:to][who].view(np.uint64), *(r.at(where, n) for n in p.lengths)])
-                cols = np.unique(cols[[0, -1, *range(1, p.levels)]], axis=1)[[0, *range(2, p.levels + 1), 1]] if cols.shape[1] else cols
+                if len(who):
+                    cols = np.unique(np.stack([docs[at:to][who].view(np.uint64), *(r.at(where, n) for n in p.lengths)]), axis=1)
+                    cols = _salted(cols).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols[:-2]), pa.array(cols[-2].astype(np.int8)), pa.array(cols[-1].astype(np.int8))], names=names)
                 at = to
-                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
 
     return run
 
 
 def _repeated(level: int):
-    """Keeps the anchors whose window at this level stands in two or more documents.
+    """Keeps the anchors whose window at this level stands in two or more documents, at level 0 also those known to.
 
     Rows come sorted by window and document, so a run is known to be repeated at its second document: only
     rows of one document ever wait, however long the run.
@@ -138,6 +156,8 @@ def _repeated(level: int):
             begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             end = np.r_[begin[1:], len(key)]
             many = doc[begin] != doc[end - 1]
+            if level == 0:
+                many |= np.maximum.reduceat(batch.column(batch.num_columns - 2).to_numpy(), begin) > 0
             if key[0] == last:
                 many[0] |= several or doc[end[0] - 1] != first_doc
                 if many[0]:
@@ -156,33 +176,17 @@ def _repeated(level: int):
     return run
 
 
-def _pair_up(key: int, limit: int | None):
-    """(a, b, wide): pairs of the documents of a run; a run of more than `limit` documents gives (doc, key, true) rows instead.
-
-    A run waits only until it is known to be wide; from there on its documents pass through.
-    """
+def _pair_up(key: int):
+    """(a, b): every pair of the documents of a run of equal keys, smaller id first."""
 
-    def pairs(docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs(docs: np.ndarray) -> Iterator[np.ndarray]:
         for i in range(0, len(docs), 256):  # blocks of documents against all later ones
             part = docs[i : i + 256]
             x, y = np.repeat(part, len(docs) - i), np.tile(docs[i:], len(part))
-            yield _unique([np.stack([x[x < y], y[x < y], np.zeros(int((x < y).sum()), np.int64)])])
+            yield np.stack([x[x < y], y[x < y]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, docs, wide, out = None, np.empty(0, np.int64), False, []
-
-        def through(d):
-            return np.stack([d, np.full(len(d), last), np.ones(len(d), np.int64)])
-
-        def close():
-            if wide or len(docs) < 2:
-                return
-            if len(docs) <= 256:
-                x, y = np.triu_indices(len(docs), 1)
-                out.append(np.stack([docs[x], docs[y], np.zeros(len(x), np.int64)]))
-            else:
-                yield from pairs(docs)
-
+        last, docs, out = None, np.empty(0, np.int64), []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -190,22 +194,19 @@ def _pair_up(key: int, limit: int | None):
             edge = np.flatnonzero(np.r_[True, k[1:] != k[:-1], True])
             for b, e in zip(edge[:-1], edge[1:]):
                 own = np.unique(d[b:e])
-                if k[b] != last:
-                    yield from close()
-                    last, docs, wide = k[b], own, False
-                elif wide:
-                    out.append(through(own))
-                    continue
-                else:
+                if k[b] == last:
                     docs = np.union1d(docs, own)
-                if limit is not None and len(docs) > limit:
-                    wide = True
-                    out.append(through(docs))
-                    docs = np.empty(0, np.int64)
+                    continue
+                for block in pairs(docs) if len(docs) > 1 else ():
+                    out.append(block)
+                    if block.shape[1] > 50_000:
+                        yield _unique(out)
+                        out.clear()
+                last, docs = k[b], own
             if sum(o.shape[1] for o in out) > 100_000:
                 yield _unique(out)
                 out.clear()
-        yield from close()
+        out += pairs(docs)
         if out:
             yield _unique(out)
 
@@ -213,8 +214,8 @@ def _pair_up(key: int, limit: int | None):
 
 
 def _unique(out: list[np.ndarray]) -> pa.RecordBatch:
-    a, b, w = np.unique(np.concatenate(out, axis=1), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(w == 1)], names=["a", "b", "wide"])
+    a, b = np.unique(np.concatenate(out, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _full_windows(p: Doubling):
@@ -281,23 +282,25 @@ def span_pairs(docs: DataFrame, id_col: str, text_col: str, p: Doubling = Doubli
     Anchors of every text are posted under the hash of their first window. Windows that stand in one
     document alone are dropped; the others go on under the hash of the window twice as long, which each
     anchor brings along, until the longest level. Its runs are paired, those of more than `run_limit`
-    documents only after a split by every window of the full length, so a passage just short of
+    rows (counted with partial sums) only after a split by every window of the full length, so a passage just short of
     min_chars in a third of all documents makes no pairs. Every pair is checked against both texts.
     """
     copies, texts = _classes(docs, id_col, text_col, p)
-    fields = ", ".join(["doc bigint", *(f"h{i} bigint" for i in range(p.levels))])
+    fields = ", ".join(["doc bigint", *(f"h{i} bigint" for i in range(p.levels)), "known tinyint", "salt tinyint"])
     live = texts.select("doc", "text").mapInArrow(_postings(p), fields)
-    for level in range(p.levels):
-        sorted_ = live.repartition(f"h{level}").sortWithinPartitions(f"h{level}", "doc")
-        live = sorted_.mapInArrow(_repeated(level), fields) if level < p.levels - 1 else sorted_.mapInArrow(_pair_up(p.levels, p.run_limit), "a bigint, b bigint, wide boolean")
-    found = pin(live.distinct())
-    pairs = found.filter("not wide").select("a", "b")
-    wide = found.filter("wide").select(F.col("a").alias("doc"), F.col("b").alias("key"))
-    if not wide.isEmpty():
+    for level in range(p.levels - 1):
+        met = live.repartition("h0", "salt") if level == 0 else live.repartition(f"h{level}")
+        live = met.sortWithinPartitions(f"h{level}", "doc").mapInArrow(_repeated(level), fields)
+    live = pin_table(live.select("doc", F.col(f"h{p.levels - 1}").alias("key")))
+    hot = pin(live.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > p.run_limit).select("key"))
+    narrow = live.join(hot, "key", "left_anti").select("doc", "key").repartition("key").sortWithinPartitions("key", "doc")
+    pairs = narrow.mapInArrow(_pair_up(1), "a bigint, b bigint").distinct()
+    if not hot.isEmpty():
+        wide = live.join(hot, "key", "left_semi")
         grouped = wide.groupBy("doc").agg(F.collect_set("key").alias("keys"))  # at most the anchors of one text
         full = grouped.join(texts.select("doc", "text"), "doc").select("doc", "keys", "text").mapInArrow(_full_windows(p), "doc bigint, h bigint")
-        more = full.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(_pair_up(1, None), "a bigint, b bigint, wide boolean")
-        pairs = pairs.union(more.select("a", "b")).distinct()
+        more = full.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(_pair_up(1), "a bigint, b bigint")
+        pairs = pairs.union(more).distinct()
     checked = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("y")), "b")
     common = checked.select("a", "b", "x", "y").mapInArrow(_common(p), "a bigint, b bigint, s array<int>, t array<int>")
     return common, copies, texts

@@ -130,19 +130,20 @@ def test_runs_across_batches():
     import pyarrow as pa
 
     random.seed(4)
-    rows = sorted((random.randint(0, 12), random.randint(0, 5)) for _ in range(120))
+    rows = sorted((random.randint(0, 12), random.randint(0, 5)) for _ in range(120)) + [(99, 4)]
     for size in (1, 2, 3, 7, 200):
         parts = [rows[i : i + size] for i in range(0, len(rows), size)]
-        batches = [pa.RecordBatch.from_arrays([pa.array([d for _, d in p]), pa.array([k for k, _ in p])], names=["doc", "h0"]) for p in parts]
+        batches = [pa.RecordBatch.from_arrays([pa.array([d for _, d in p]), pa.array([k for k, _ in p]), pa.array([int(k == 99) for k, _ in p], pa.int8()), pa.array([0] * len(p), pa.int8())], names=["doc", "h0", "known", "salt"]) for p in parts]
         got = sorted((k, d) for b in spans._repeated(0)(iter(batches)) for d, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         docs = {k: {d for j, d in rows if j == k} for k, _ in rows}
-        assert got == [(k, d) for k, d in rows if len(docs[k]) > 1]
-        for limit in (None, 3):
-            out = {tuple(c[i].as_py() for c in b.columns) for b in spans._pair_up(1, limit)(iter(batches)) for i in range(b.num_rows)}
-            want = set()
-            for k, m in docs.items():
-                if limit is not None and len(m) > limit:
-                    want |= {(d, k, True) for d in m}
-                else:
-                    want |= {(a, b, False) for a in m for b in m if a < b}
-            assert out == want, (size, limit)
+        assert got == [(k, d) for k, d in rows if len(docs[k]) > 1 or k == 99]
+        out = {tuple(c[i].as_py() for c in b.columns) for b in spans._pair_up(1)(iter(batches)) for i in range(b.num_rows)}
+        assert out == {(a, b) for m in docs.values() for a in m for b in m if a < b}
+
+
+def test_hot_windows_are_salted():
+    import numpy as np
+
+    cols = np.array([[1, 2, 3, 4, 4], [7, 7, 7, 8, 8], [70, 70, 71, 80, 81]], np.uint64)
+    doc, h, _, known, salt = spans._salted(cols)
+    assert known.tolist() == [1, 1, 1, 0, 0] and salt.tolist()[0] == 0 and all(salt[1:3] > 0) and salt.tolist()[3:] == [0, 0]
