@@ -92,6 +92,10 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p4_found, p4_rates, p4_reasons, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if c != 0xFF07)
+_FROM = _WIDE + "".join(canon.CYRILLIC_LIKE) + "".join(canon.GREEK_LIKE)
+_TO = "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "".join(canon.CYRILLIC_LIKE.values()) + "".join(canon.GREEK_LIKE.values())
+
 ORACLE: dict[str, str] = {
     "p3_found": """
         SELECT source_id, rank_section, ingest_seq FROM (
@@ -109,4 +113,18 @@ ORACLE: dict[str, str] = {
         WITH w AS (SELECT doc_id, md5(substr(text, i, 300)) AS h FROM (SELECT doc_id, text, unnest(generate_series(1, length(text) - 299)) AS i FROM documents WHERE length(text) >= 300) t),
              d AS (SELECT DISTINCT doc_id, h FROM w), m AS (SELECT h FROM d GROUP BY h HAVING count(*) > 1), k AS (SELECT d.* FROM d SEMI JOIN m USING (h))
         SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",
+    "p10_shared": """
+        WITH w AS (SELECT doc_id, i, md5(substr(text, i, 300)) AS h FROM (SELECT doc_id, text, unnest(generate_series(1, length(text) - 299)) AS i FROM documents WHERE length(text) >= 300) t),
+             m AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+             k AS (SELECT doc_id, lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i AS gap FROM w SEMI JOIN m USING (h)),
+             s AS (SELECT doc_id, sum(least(coalesce(gap, 300), 300))::INT AS shared_chars, count(*) FILTER (WHERE coalesce(gap, 301) > 300)::INT AS n_spans FROM k GROUP BY 1)
+        SELECT doc_id, coalesce(length(text), 0)::INT AS n_chars, coalesce(shared_chars, 0) AS shared_chars, coalesce(n_spans, 0) AS n_spans,
+               CASE WHEN length(text) > 0 THEN coalesce(shared_chars, 0) / length(text) ELSE 0.0 END AS share
+        FROM documents LEFT JOIN s USING (doc_id)""",
+    # the same equivalence by other means: width and look-alike letters by translation, all to Latin
+    "p1_found": f"""
+        WITH c AS (SELECT ingest_seq, 'title' AS field_name, title AS v FROM raw_items WHERE title <> '' UNION ALL SELECT ingest_seq, 'summary', summary FROM raw_items WHERE summary <> ''),
+             t AS (SELECT ingest_seq, field_name, v, translate(nfc_normalize(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g')), '{_FROM}', '{_TO}') AS x FROM c),
+             k AS (SELECT ingest_seq, field_name, v, trim(regexp_replace(nfc_normalize(replace(replace(replace(x, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl')), '[\\s\\p{{Z}}]+', ' ', 'g')) AS f FROM t)
+        SELECT a.field_name, a.ingest_seq AS ingest_seq_a, b.ingest_seq AS ingest_seq_b FROM k a JOIN k b ON a.field_name = b.field_name AND a.f = b.f AND a.ingest_seq < b.ingest_seq AND a.v <> b.v""",
 }
