@@ -47,7 +47,30 @@ def _url() -> F.Column:
 # --- timestamps -------------------------------------------------------------------------------
 
 
-@query()
+_MONTH_SQL = "b0"
+for _line in timestamps.MONTHS.strip().splitlines():
+    _n, _first, *_rest = _line.split()
+    for _name in sorted({_first, *_rest}, key=len, reverse=True):
+        _MONTH_SQL = f"regexp_replace({_MONTH_SQL}, '(^|\\s){_name}(\\s|$)', '\\1m{int(_n):02d}\\2', 'i')"
+_OFFSETS = {"PST": -8, "PDT": -7, "EST": -5, "EDT": -4, "GMT": 0, "UTC": 0, "BST": 1, "CET": 1, "CEST": 2, "MSK": 3, "IST": 5.5, "CST": 8, "JST": 9, "AEST": 10, "AEDT": 11}
+
+
+@query(f"""WITH v AS (SELECT r.ingest_seq, c.zone_name, c.date_order, trim(r.published_at) AS v FROM raw_items r JOIN source_clock c USING (source_id) WHERE r.published_at <> ''),
+          p AS (SELECT *, regexp_extract(v, '\\[(.*)\\]$', 1) AS zone, regexp_extract(v, ' ([A-Z]{{3,4}})$', 1) AS abbr, regexp_extract(v, '(?::\\d\\d(?:\\.\\d+)? ?|[AP]M )([+-]\\d\\d:?\\d\\d)$', 1) AS off FROM v),
+          q AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(v, '\\[.*\\]$| [A-Z]{{3,4}}$|[Zz]$| Uhr$', ''), '(:\\d\\d(?:\\.\\d+)?|[AP]M) ?[+-]\\d\\d:?\\d\\d$', '\\1'), '^[A-Z][a-z]{{2}}, ', '') AS b FROM p),
+          m AS (SELECT *, replace(replace(replace(replace(b, ' de ', ' '), ' à ', ' '), ',', ''), '年', '-') AS b0 FROM q),
+          n AS (SELECT *, regexp_replace(replace(replace({_MONTH_SQL}, '月', '-'), '日', ''), '(\\d)h(\\d)', '\\1:\\2') AS x FROM m),
+          l AS (SELECT *, CASE WHEN contains(x, '/') AND NOT regexp_matches(x, '^\\d{{4}}') THEN
+                  CASE WHEN date_order = 'mdy' THEN coalesce(try_strptime(x, '%m/%d/%Y %I:%M %p'), try_strptime(x, '%m/%d/%Y %H:%M')) ELSE coalesce(try_strptime(x, '%d/%m/%Y %I:%M %p'), try_strptime(x, '%d/%m/%Y %H:%M')) END
+                ELSE coalesce(try_strptime(x, ['%Y/%m/%d %H:%M', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%dt%H:%M:%S', '%Y-%m-%d', '%Y%m%dT%H%M%S', '%Y-%m-%d %H:%M',
+                  '%d m%m %Y %H:%M:%S', '%d m%m %Y %H:%M', 'm%m %d %Y %I:%M %p', 'm%m %d %Y', '%d.%m.%Y %H:%M'])) END AS local FROM n)
+          SELECT ingest_seq, us AS published_us FROM (SELECT ingest_seq, CASE
+            WHEN regexp_full_match(v, '\\d+(\\.\\d+)?') THEN CASE WHEN v::DECIMAL(30,6) < 1e11 THEN v::DECIMAL(30,6) * 1000000 WHEN v::DECIMAL(30,6) < 1e14 THEN v::DECIMAL(30,6) * 1000 ELSE v::DECIMAL(30,6) END::BIGINT
+            WHEN zone <> '' THEN least(epoch_us(timezone(zone, local)), epoch_us(timezone(zone, local - INTERVAL 1 HOUR)) + 3600000000)
+            WHEN off <> '' THEN epoch_us(local) - (CASE WHEN off[1] = '-' THEN -1 ELSE 1 END * (off[2:3]::INT * 3600 + right(off, 2)::INT * 60))::BIGINT * 1000000
+            WHEN regexp_matches(v, '[Zz]$') AND regexp_matches(v, '\\d[Zz]$') THEN epoch_us(local)
+            WHEN abbr <> '' AND abbr NOT IN ('AM', 'PM') THEN epoch_us(local) - (CASE abbr {' '.join(f"WHEN '{k}' THEN {h}" for k, h in _OFFSETS.items())} END * 3600)::BIGINT * 1000000
+            ELSE least(epoch_us(timezone(zone_name, local)), epoch_us(timezone(zone_name, local - INTERVAL 1 HOUR)) + 3600000000) END AS us FROM l) t WHERE us IS NOT NULL""")
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.to_instants(_items(spark, d), table(spark, d, "source_clock")).select("ingest_seq", "published_us")
 
