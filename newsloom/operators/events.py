@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsloom.functions import text
@@ -12,35 +13,50 @@ from newsloom.operators.graph import connected_components
 from newsloom.runtime import pin
 
 
-def similar_titles(items: DataFrame, id_col: str, title: str, group: str, at: str, least: float, hours: float, stop: Sequence[str] = ()) -> DataFrame:
-    """(a, b, similarity) of items of one group whose titles' word sets overlap by `least` within `hours`; a < b.
+def title_nodes(items: DataFrame, id_col: str, title: str, group: str, at: str, hours: float, stop: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(nodes, members): items of one group with the same title words, as long as none is `hours` after the one before.
 
-    Lossless prefix filter: of n words the rarest n - ceil(least * n) + 1 of each title are posted, since
-    titles that overlap enough share one of those. Words are ordered by their own frequency over all
-    items, so hot words are posted by titles made of hot words alone. Posting lists of words in the same
-    group meet by an equi-join, which adaptive execution splits where skewed; equal word sets are one
-    node (`title_sets`), so copies of a title post once.
+    nodes(node, g, w, t0, t1) are named by their first item; members(id, node) has every item with words.
+    Items are first summed up per spell of `hours`, in partial sums, and only the spells are put in order,
+    so a title on a third of all items is never sorted in one task. Items without words or time are left out.
     """
     words = text.word_array(F.col(title), 2, stop)
-    base = items.select(F.col(id_col).alias("id"), F.col(group).alias("g"), F.col(at).alias("t"), F.array_sort(words).alias("w")).filter(F.size("w") > 0)
-    sets = base.select("g", "w").distinct()
-    seen = base.select(F.explode("w").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
-    ranked = sets.withColumn("s", F.xxhash64("g", "w")).select("s", "g", "w", F.explode("w").alias("x")).join(seen, "x")
-    by_rarity = ranked.groupBy("s", "g", "w").agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("o"))  # the words of one title
+    t = F.unix_micros(F.col(at).cast("timestamp"))
+    width = int(hours * 3_600_000_000)
+    base = items.select(F.col(id_col).alias("id"), F.col(group).alias("g"), t.alias("t"), F.array_sort(words).alias("w")).filter((F.size("w") > 0) & F.col("t").isNotNull())
+    base = base.select("id", "t", "g", "w", F.xxhash64("g", "w").alias("s"), F.floor(F.col("t") / width).alias("spell"))
+    spells = base.groupBy("s", "g", "w", "spell").agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.min_by("id", F.struct("t", "id")).alias("first"))
+    order = W.partitionBy("s").orderBy("spell")
+    opened = spells.withColumn("new", F.coalesce((F.col("t0") - F.lag("t1").over(order) > width).cast("int"), F.lit(1))).withColumn("burst", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    named = opened.withColumn("node", F.first("first").over(W.partitionBy("s", "burst").orderBy("spell").rowsBetween(W.unboundedPreceding, 0)))
+    named = pin(named.select("s", "spell", "node", "g", "w", "t0", "t1"))
+    nodes = named.groupBy("node", "s", "g", "w").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"))
+    members = base.select("id", "s", "spell").join(named.select("s", "spell", "node"), ["s", "spell"]).select("id", "node")
+    return nodes, members
+
+
+def similar_nodes(nodes: DataFrame, least: float, hours: float) -> DataFrame:
+    """(a, b, similarity) of nodes of one group whose word sets overlap by `least` and whose times come within `hours`; a < b.
+
+    Lossless prefix filter: of n words the rarest n - ceil(least * n) + 1 of each set are posted, since sets
+    that overlap enough share one of those. Posting lists meet by an equi-join, which adaptive execution
+    splits where skewed; nodes of one word set post once.
+    """
+    sets = nodes.select("s", "g", "w").distinct()
+    each = sets.select("s", "g", "w", F.explode("w").alias("x"))
+    seen = each.groupBy("x").agg(F.count("*").alias("n"))
+    by_rarity = each.join(seen, "x").groupBy("s", "g", "w").agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("o"))  # the words of one title
     keep = F.size("o") - F.ceil(F.size("o") * least - 1e-9) + 1
     post = by_rarity.select("s", "g", "w", F.explode(F.slice("o", F.lit(1), keep.cast("int"))).alias("o")).select("s", "g", "w", F.col("o.x").alias("x"))
     a, b = post.alias("a"), post.alias("b")
     size_ok = (F.size("a.w") >= F.size("b.w") * least - 1e-9) & (F.size("b.w") >= F.size("a.w") * least - 1e-9)
     met = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.g").eqNullSafe(F.col("b.g")))).filter((F.col("a.s") < F.col("b.s")) & size_ok)
-    near = met.withColumn("similarity", text.jaccard(F.col("a.w"), F.col("b.w"))).filter(F.col("similarity") >= least)
+    near = met.withColumn("similarity", text.jaccard(F.col("a.w"), F.col("b.w"))).filter(F.col("similarity") >= least - 1e-9)
     near = near.select(F.col("a.s").alias("s1"), F.col("b.s").alias("s2"), "similarity").distinct()
-    same = sets.select(F.xxhash64("g", "w").alias("s1"), F.xxhash64("g", "w").alias("s2"), F.lit(1.0).alias("similarity"))
-    member = base.select("id", "t", F.xxhash64("g", "w").alias("s"))
-    left = near.union(same).join(member.select(F.col("s").alias("s1"), F.col("id").alias("i1"), F.col("t").alias("t1")), "s1")
-    both = left.join(member.select(F.col("s").alias("s2"), F.col("id").alias("i2"), F.col("t").alias("t2")), "s2")
-    gap = F.abs(F.unix_timestamp(F.col("t1").cast("timestamp")) - F.unix_timestamp(F.col("t2").cast("timestamp"))) <= hours * 3600
-    kept = both.filter(gap & ((F.col("s1") != F.col("s2")) & (F.col("i1") != F.col("i2")) | (F.col("s1") == F.col("s2")) & (F.col("i1") < F.col("i2"))))
-    return kept.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), "similarity")
+    side = lambda i: nodes.select(F.col("s").alias(f"s{i}"), F.col("node").alias(f"n{i}"), F.col("t0").alias(f"b{i}"), F.col("t1").alias(f"e{i}"))
+    width = int(hours * 3_600_000_000)
+    both = near.join(side(1), "s1").join(side(2), "s2").filter((F.col("b2") - F.col("e1") <= width) & (F.col("b1") - F.col("e2") <= width))
+    return both.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"), "similarity")
 
 
 def first_fit(items: DataFrame, edges: DataFrame, id_col: str, order: Sequence[Column], max_rounds: int = 200) -> DataFrame:

@@ -11,6 +11,7 @@ from newsloom.functions import text
 from newsloom.operators import events
 from newsloom.operators import relational as rel
 from newsloom.plans import rules
+from newsloom.runtime import pin
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,7 @@ def sifted(items: DataFrame, drop: dict[str, Column], keep: Column | None = None
 def item_events(items: DataFrame, pack: rules.RulePack, drop: dict[str, Column], settings: Settings = Settings()) -> Result:
     """Deduplicate, sift, classify, group similar reports first-fit inside a bucket and rank the events.
 
+    Reports with the same title words that follow one another are one node; nodes are grouped.
     items has the ingested columns with ingest_seq and fetched_at. An event's main item is its best
     ranked, then earliest; events order by sources, items and main item.
     """
@@ -49,9 +51,12 @@ def item_events(items: DataFrame, pack: rules.RulePack, drop: dict[str, Column],
     kept, rejected = sifted(once, {"no title": text.missing_as_empty(F.col("title")) == "", **drop})
     named = rules.classified(kept, "ingest_seq", ["title", "summary", "section"], "source_id", "section", pack)
     candidates = kept.join(named, "ingest_seq").select("ingest_seq", "source_id", "title", "fetched_at", "rank_position", "bucket", "decided_by", "tags")
-    timed = candidates.withColumn("at", F.col("fetched_at").cast("timestamp"))
-    edges = events.similar_titles(timed, "ingest_seq", "title", "bucket", "at", settings.similarity, settings.hours)
-    buckets = events.first_fit(candidates, edges, "ingest_seq", [F.col("fetched_at")]).withColumnRenamed("bucket", "group_id")
+    nodes, members = events.title_nodes(candidates, "ingest_seq", "title", "bucket", "fetched_at", settings.hours)
+    nodes = pin(nodes)
+    edges = events.similar_nodes(nodes, settings.similarity, settings.hours)
+    joined = events.first_fit(nodes, edges, "node", [F.col("t0")])
+    placed = members.join(joined, "node").select(F.col("id").alias("ingest_seq"), F.col("bucket").alias("group_id"))
+    buckets = candidates.select("ingest_seq").join(placed, "ingest_seq", "left").select("ingest_seq", F.coalesce("group_id", "ingest_seq").alias("group_id"))
     rank = F.when(F.col("rank_position") > 0, F.col("rank_position")).otherwise(9999)
     found = events.group_summary(candidates, buckets, "ingest_seq", "source_id", "fetched_at", [rank.alias("r"), F.col("fetched_at")])
     found = found.join(candidates.select(F.col("ingest_seq").alias("main_id"), "title", "bucket"), "main_id")

@@ -387,25 +387,40 @@ def linked_groups(spark: SparkSession, d: str) -> DataFrame:
 _STORY = f"list_sort(list_distinct({_WORDS}))"
 
 
-@query(f"""WITH n AS (SELECT ingest_seq, coalesce(section,'') AS g, fetched_at AS t, {_STORY} AS w FROM raw_items),
-          x AS (SELECT DISTINCT a.ingest_seq AS a, b.ingest_seq AS b FROM (SELECT ingest_seq, g, unnest(w) AS x FROM n) a JOIN (SELECT ingest_seq, g, unnest(w) AS x FROM n) b ON a.x = b.x AND a.g = b.g AND a.ingest_seq < b.ingest_seq)
-          SELECT x.a, x.b, round(len(list_intersect(p.w, q.w)) / len(list_distinct(list_concat(p.w, q.w))), 6) AS similarity FROM x JOIN n p ON x.a = p.ingest_seq JOIN n q ON x.b = q.ingest_seq
-          WHERE len(list_intersect(p.w, q.w)) >= 0.6 * len(list_distinct(list_concat(p.w, q.w))) - 1e-9 AND abs(epoch(p.t)::BIGINT - epoch(q.t)::BIGINT) <= 36 * 3600""")
+_NODES = f"""x AS (SELECT ingest_seq, coalesce(section,'') AS g, epoch_us(fetched_at) AS t, {_STORY} AS w FROM raw_items WHERE fetched_at IS NOT NULL),
+          y AS (SELECT *, CASE WHEN t - lag(t) OVER o <= 36 * 3600000000 THEN 0 ELSE 1 END AS opens FROM x WHERE len(w) > 0 WINDOW o AS (PARTITION BY g, w ORDER BY t, ingest_seq)),
+          z AS (SELECT *, sum(opens) OVER (PARTITION BY g, w ORDER BY t, ingest_seq ROWS UNBOUNDED PRECEDING) AS k FROM y),
+          n AS (SELECT arg_min(ingest_seq, (t, ingest_seq)) AS node, g, w, min(t) AS t0, max(t) AS t1, count(*) AS n_items FROM z GROUP BY g, w, k)"""
+
+
+@query(f"WITH {_NODES} SELECT node, n_items FROM n")
+def title_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Items with the same title words in one section, as long as they follow one another within 36 hours."""
+    return _nodes(spark, d)[1].groupBy("node").agg(F.count("*").alias("n_items"))
+
+
+@query(f"""WITH {_NODES}, u AS (SELECT node, g, unnest(w) AS x FROM n), c AS (SELECT DISTINCT a.node AS a, b.node AS b FROM u a JOIN u b ON a.x = b.x AND a.g = b.g AND a.node < b.node)
+          SELECT c.a, c.b, round(len(list_intersect(p.w, q.w)) / len(list_distinct(list_concat(p.w, q.w))), 6) AS similarity FROM c JOIN n p ON c.a = p.node JOIN n q ON c.b = q.node
+          WHERE p.w <> q.w AND len(list_intersect(p.w, q.w)) >= (0.6 - 1e-9) * len(list_distinct(list_concat(p.w, q.w))) AND q.t0 - p.t1 <= 36 * 3600000000 AND p.t0 - q.t1 <= 36 * 3600000000""")
 def similar_titles(spark: SparkSession, d: str) -> DataFrame:
-    found = _similar(spark, d)
-    return found.select("a", "b", F.round("similarity", 6).alias("similarity"))
+    return _similar(spark, d).select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+def _nodes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    x = _items(spark, d).select("ingest_seq", text.missing_as_empty(F.col("title")).alias("title"), text.missing_as_empty(F.col("section")).alias("section"), "fetched_at")
+    return events.title_nodes(x, "ingest_seq", "title", "section", "fetched_at", 36)
 
 
 def _similar(spark: SparkSession, d: str) -> DataFrame:
-    x = _items(spark, d).select("ingest_seq", text.missing_as_empty(F.col("title")).alias("title"), text.missing_as_empty(F.col("section")).alias("section"), F.date_trunc("second", F.col("fetched_at").cast("timestamp")).alias("at"))
-    return events.similar_titles(x, "ingest_seq", "title", "section", "at", 0.6, 36)
+    return events.similar_nodes(_nodes(spark, d)[0], 0.6, 36)
 
 
 @query()
 def first_fit_events(spark: SparkSession, d: str) -> DataFrame:
-    """Buckets of similar titles in delivery order."""
-    x = _items(spark, d).select("ingest_seq", "fetched_at")
-    return events.first_fit(x, _similar(spark, d), "ingest_seq", [F.col("fetched_at")])
+    """Buckets of similar titles in the order of their first delivery."""
+    nodes, members = _nodes(spark, d)
+    found = events.first_fit(nodes, events.similar_nodes(nodes, 0.6, 36), "node", [F.col("t0")])
+    return members.join(found, "node").select(F.col("id").alias("ingest_seq"), "bucket")
 
 
 @query()

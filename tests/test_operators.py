@@ -55,17 +55,33 @@ def test_first_fit_matches_sequential(spark):
 
 def test_similar_titles_match_brute_force(spark):
     random.seed(3)
-    words = [f"w{i}" for i in range(30)]
-    rows = [(i, " ".join(random.sample(words, random.randint(2, 7))), random.choice(["x", "y"]), 1000.0 * i) for i in range(200)] + [(900, "", "x", 0.0), (901, None, "x", 0.0)]
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(random.sample(words, random.randint(2, 5))), random.choice(["x", "y", None]), 2000.0 * random.randint(0, 400)) for i in range(300)] + [(900, "", "x", 0.0), (901, None, "x", 0.0), (902, "w1 w2", "x", None)]
+    rows += [(1000 + i, "hot title here", "x", 10.0 * i) for i in range(400)]
     df = spark.createDataFrame(rows, "id bigint, title string, g string, s double").withColumn("at", F.timestamp_seconds("s"))
-    got = {(r["a"], r["b"]) for r in events.similar_titles(df, "id", "title", "g", "at", 0.5, 20).collect()}
-    want = set()
+    nodes, members = events.title_nodes(df, "id", "title", "g", "at", 20)
+    classes = {}
     for i, t, g, s in rows:
-        for j, u, h, v in rows:
-            a, b = set((t or "").split()), set((u or "").split())
-            if i < j and g == h and a and b and len(a & b) >= 0.5 * len(a | b) and abs(s - v) <= 20 * 3600:
-                want.add((i, j))
-    assert got == want
+        if t and s is not None:
+            classes.setdefault((g, frozenset(t.split())), []).append((s, i))
+    want, node = {}, {}
+    for (g, w), m in classes.items():
+        last = first = None
+        for s, i in sorted(m):
+            if last is None or s - last > 20 * 3600:
+                first = i
+                want[first] = (g, w, s, s)
+            node[i] = first
+            want[first] = (*want[first][:3], s)
+            last = s
+    assert {r["id"]: r["node"] for r in members.collect()} == node
+    got = {(r["a"], r["b"]) for r in events.similar_nodes(nodes, 0.5, 20).collect()}
+    pairs = set()
+    for i, (g, a, s0, s1) in want.items():
+        for j, (h, b, v0, v1) in want.items():
+            if i < j and g == h and a != b and len(a & b) >= 0.5 * len(a | b) and v0 - s1 <= 72000 and s0 - v1 <= 72000:
+                pairs.add((i, j))
+    assert got == pairs
 
 
 def test_first_and_last_wins(spark):
