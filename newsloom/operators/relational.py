@@ -104,10 +104,20 @@ def cache_misses(texts: DataFrame, cache: DataFrame, key: str) -> DataFrame:
 
 
 def sessions(df: DataFrame, user: str, at: str, gap_seconds: int) -> DataFrame:
-    """Rows with a session number per user; a pause longer than the gap opens the next."""
-    w = W.partitionBy(user).orderBy(at)
-    pause = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.lag(at).over(w).cast("timestamp"))
-    return df.withColumn("_new", F.coalesce((pause > gap_seconds * 1_000_000).cast("int"), F.lit(1))).withColumn("session", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+    """Rows with a session number per user; a pause longer than the gap opens the next. Rows without a time are left out.
+
+    Rows are first summed up per user and spell of the gap's length, inside which no pause can open a
+    session; only the spells are put in order, so a user with a third of all rows is not sorted in one task.
+    """
+    width = gap_seconds * 1_000_000
+    t = F.unix_micros(F.col(at).cast("timestamp"))
+    marked = df.filter(F.col(at).isNotNull()).withColumns({"_t": t, "_spell": F.floor(t / width)})
+    spells = marked.groupBy(user, "_spell").agg(F.min("_t").alias("t0"), F.max("_t").alias("t1"))
+    order = W.partitionBy(user).orderBy("_spell")
+    opens = F.coalesce((F.col("t0") - F.lag("t1").over(order) > width).cast("int"), F.lit(1))
+    numbered_ = spells.withColumn("_new", opens).withColumn("session", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    named = numbered_.select(F.col(user).alias("_u"), F.col("_spell").alias("_s"), "session")
+    return marked.join(named, F.col(user).eqNullSafe(F.col("_u")) & (F.col("_spell") == F.col("_s"))).select(*df.columns, "session")
 
 
 def decided(pairs: DataFrame, rules: Sequence[tuple[str, Column, bool, Column | float]], otherwise: str = "no rule") -> DataFrame:

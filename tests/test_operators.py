@@ -128,3 +128,18 @@ def test_quota_and_caps(spark):
     assert len(out) == 4 and {r["s"] for r in out} == {"s2"}
     top = rel.capped_then_ranked(df, [F.col("s")], [F.col("id")], 2, 3).collect()
     assert [(r["id"], r["place"]) for r in sorted(top, key=lambda r: r["place"])] == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_sessions(spark):
+    random.seed(8)
+    rows = [(random.choice(["a", "b", None]), random.randint(0, 20000)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "u string, s int").withColumn("at", F.timestamp_seconds("s"))
+    want, last = [], {}
+    for u, s in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        n, t = last.get(u, (0, None))
+        n += t is None or s - t > 100
+        last[u] = (n, s)
+        want.append((str(u), s, n))
+    got = sorted((str(r["u"]), r["s"], r["session"]) for r in rel.sessions(df, "u", "at", 100).collect())
+    assert got == sorted(want)
+    assert rel.sessions(df.limit(0), "u", "at", 100).count() == 0
