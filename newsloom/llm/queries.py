@@ -92,9 +92,10 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p4_found, p4_rates, p4_reasons, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
-_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if c != 0xFF07)
-_FROM = _WIDE + "".join(canon.CYRILLIC_LIKE) + "".join(canon.GREEK_LIKE)
-_TO = "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "".join(canon.CYRILLIC_LIKE.values()) + "".join(canon.GREEK_LIKE.values())
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
+_FROM = "ёѐїӧӓ" + _WIDE + "".join(canon.CYRILLIC_LIKE) + "".join(canon.GREEK_LIKE)
+_TO = "ëèïöä" + "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "".join(canon.CYRILLIC_LIKE.values()) + "".join(canon.GREEK_LIKE.values())
+_TO = _TO.replace("'", "''")  # inside a literal
 
 ORACLE: dict[str, str] = {
     "p3_found": """
@@ -124,12 +125,12 @@ ORACLE: dict[str, str] = {
     # the same equivalence by other means: width and look-alike letters by translation, all to Latin
     "p1_found": f"""
         WITH c AS (SELECT ingest_seq, 'title' AS field_name, title AS v FROM raw_items WHERE title <> '' UNION ALL SELECT ingest_seq, 'summary', summary FROM raw_items WHERE summary <> ''),
-             t AS (SELECT ingest_seq, field_name, v, translate(nfc_normalize(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g')), '{_FROM}', '{_TO}') AS x FROM c),
+             t AS (SELECT ingest_seq, field_name, v, translate(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'), '{_FROM}', '{_TO}') AS x FROM c),
              k AS (SELECT ingest_seq, field_name, v, trim(regexp_replace(nfc_normalize(replace(replace(replace(x, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl')), '[\\s\\p{{Z}}]+', ' ', 'g')) AS f FROM t)
         SELECT a.field_name, a.ingest_seq AS ingest_seq_a, b.ingest_seq AS ingest_seq_b FROM k a JOIN k b ON a.field_name = b.field_name AND a.f = b.f AND a.ingest_seq < b.ingest_seq AND a.v <> b.v""",
     "p6_found": f"""
         WITH RECURSIVE c AS (SELECT ingest_seq, coalesce(title, '') || ' ' || coalesce(summary, '') AS v FROM raw_items),
-             t AS (SELECT ingest_seq, translate(nfc_normalize(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g')), '{_FROM}', '{_TO}') AS x FROM c),
+             t AS (SELECT ingest_seq, translate(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'), '{_FROM}', '{_TO}') AS x FROM c),
              k AS (SELECT ingest_seq, trim(regexp_replace(lower(nfc_normalize(replace(replace(replace(x, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'))), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS f FROM t),
              r AS (SELECT f, min(ingest_seq) AS d FROM k WHERE length(f) >= 80 GROUP BY 1),
              g AS (SELECT DISTINCT d, substr(f, i, 3) AS x FROM (SELECT d, f, unnest(generate_series(1, length(f) - 2)) AS i FROM r) u),
