@@ -45,9 +45,8 @@ _NO_HEADING = re.compile(_widget_pattern().pattern + r"|[0-9|·›»/:：≡(]")
 class StyleTree:
     """A node is one line of text, digits masked, under its host and, across hosts, under all.
 
-    Its importance is 2^-H, H the entropy (bits) of its occurrences over the stories it stands beside: a
-    line of one story keeps 1 however often the story is copied, a line beside eight stories equally has
-    1/8. `host` and `all_hosts` are the importances from which on a label counts as low; sentences, which
+    Its importance is 2^-H, H the entropy (bits) over the stories it stands beside, each counted once: a
+    line of one story keeps 1 and a line beside eight stories has 1/8, however often the stories are copied. `host` and `all_hosts` are the importances from which on a label counts as low; sentences, which
     near copies of a story may share, must be rarer still (`sentence`). Furniture stands beside articles: a
     node counts only if `beside_article` of its occurrences are on pages with sentences of `article_chars`
     together, which a server's message that fills whole pages never is. `blocks_over` nodes are held by
@@ -90,14 +89,14 @@ def low_nodes(pages: DataFrame, tree: StyleTree) -> DataFrame:
     rich = (amount >= tree.article_chars).cast("int")
     each = pages.select("host", story.alias("story"), rich.alias("r"), F.explode(F.array(both)).alias("both")).select("host", "story", "r", F.explode(F.transform("both", lambda x, i: F.struct(x["keys"].alias("key"), x["s"].alias("s"), F.coalesce(F.get(F.col("both"), i - 1)["s"], F.lit(False)).cast("int").alias("p")))).alias("l"))
     count = each.select("host", "story", "r", "l.*").filter("key is not null").repartition("key", "story").groupBy("key", "story", "host").agg(F.count("*").alias("n"), F.max("s").alias("s"), F.sum("p").alias("p"), F.sum("r").alias("r"))  # one shuffle serves both uses
-    h = lambda n: F.log2(F.sum(n)) - F.sum(n * F.log2(n)) / F.sum(n)
+    h = F.log2(F.count("*"))  # of equal shares, one per story
     whole = (
         count.groupBy("key", "story").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("r").alias("r"), F.max("s").alias("s"), F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(host), 64) as int)))").alias("hosts"))
-        .groupBy("key").agg(F.count("*").alias("stories"), h(F.col("n")).alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"), (F.sum("r") >= tree.beside_article * F.sum("n")).alias("beside"), F.bit_count(F.expr("bit_or(hosts)")).alias("hosts"))
+        .groupBy("key").agg(F.count("*").alias("stories"), h.alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"), (F.sum("r") >= tree.beside_article * F.sum("n")).alias("beside"), F.bit_count(F.expr("bit_or(hosts)")).alias("hosts"))
     )
     seen = pin_table(whole.filter((F.col("stories") >= 2) & F.col("beside")).withColumn("importance", F.pow(F.lit(2.0), -F.col("h"))).filter(F.col("importance") <= tree.host).select("key", "importance", "hosts", "s", "heads"))
     everywhere = seen.filter((F.col("hosts") >= tree.least_hosts) & (F.col("importance") <= F.when(F.col("s"), tree.sentence).otherwise(tree.all_hosts)))
-    own = count.join(seen.select("key"), "key").groupBy("key", "host").agg(h(F.col("n")).alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"))
+    own = count.join(seen.select("key"), "key").groupBy("key", "host").agg(h.alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"))
     own = own.filter(F.pow(F.lit(2.0), -F.col("h")) <= F.when(F.col("s"), tree.sentence).otherwise(tree.host))
     return everywhere.select("key", F.lit(None).cast("string").alias("host"), "heads").union(own.select("key", "host", "heads"))
 

@@ -80,6 +80,15 @@ def test_furniture(spark, limit):
     assert boilerplate.furniture_lines(df.limit(0)).count() == 0
 
 
+def test_copies_of_one_story_keep_furniture_low(spark):
+    r = random.Random(12)
+    bodies = ["\n".join(["Harbor desk notes", *(sentence(r) for _ in range(5))]) for _ in range(30)]
+    bodies += [bodies[0]] * 600
+    df = spark.createDataFrame([(i, "host0", b) for i, b in enumerate(bodies)], "ingest_seq bigint, source_id string, body_text string")
+    got = {(x["ingest_seq"], x["line_no"]) for x in boilerplate.furniture_lines(df).collect()}
+    assert got == {(i, 1) for i in range(len(bodies))}
+
+
 def test_residue(spark):
     pages = [p for p in _pages() if p[0] < 1000]
     r = random.Random(8)
