@@ -188,7 +188,9 @@ def _parted(model, wanted):
                 ids.append(id_)
                 gone.append(found)
                 size.append(sum(map(len, kept)))
-                rest.append(kept if wanted is None else wanted(kept, size[-1]))
+                if wanted is not None:
+                    kept, size[-1] = wanted(kept, size[-1], [lines[i - 1] for i in found])
+                rest.append(kept)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(size, pa.int64()), pa.array(rest, pa.list_(pa.string()))], names=["id", "gone", "size", "rest"]
             )
@@ -254,7 +256,7 @@ def furniture_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "
 def parted_pages(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree(), model: Model | None = None, wanted=None) -> DataFrame:
     """(id, gone, size, rest): the numbers of each page's furniture lines, how many characters the others hold and those others.
 
-    `wanted(lines, size)` may pick which of the others are carried along; `size` counts all.
+    `wanted(lines, size, furniture)` may pick which lines are carried along and correct `size`, which counts all the others.
     """
     model = model or fit(df, id_col, host_col, body_col, tree)
     return _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_parted(model, wanted), "id bigint, gone array<int>, size bigint, rest array<string>")

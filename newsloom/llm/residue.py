@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from http import HTTPStatus
 
 import pyarrow as pa
@@ -116,16 +117,29 @@ _LABEL = 90
 
 
 def suspects(short: int):
-    """Which lines of a page are worth reading: all of a short page, else short lines and those with a template's signs."""
+    """Which lines of a page are worth reading: all of a short page, else short lines and those with a template's signs.
 
-    def pick(lines: list[str], size: int) -> list[str]:
+    Lines of the furniture that are residue themselves are read too: a slot or message that recurs on many pages is pruned like a menu.
+    """
+
+    def pick(lines: list[str], size: int, furniture: list[str]) -> tuple[list[str], int]:
+        back = [x for x in furniture if _telling(x)]
+        size += sum(map(len, back))
         if size <= short:
-            return lines
-        return [x for x in lines if len(x) <= _LABEL or any(c in x for c in _SIGNS) or _OPENS.match(x) or _pseudo_latin(x)]
+            return lines + back, size
+        return [x for x in lines if len(x) <= _LABEL or any(c in x for c in _SIGNS) or _OPENS.match(x) or _pseudo_latin(x)] + back, size
 
     return pick
 
 
+@lru_cache(50_000)
+def _telling(line: str) -> bool:
+    """A furniture line that holds an open slot, a message, filler or a default; 'Test' and 'None' may name a section there."""
+    if line.strip(" .,;").lower() in ("test", "none"):
+        return False
+    return any(not p[3] for p in placeholders(line)) or says(line) != ""
+
+
 def _pseudo_latin(x: str) -> bool:
     """Few different words, no digits: worth a look whether they are the filler's vocabulary."""
     words = x.lower().split()
@@ -190,7 +204,7 @@ def parted_suspects(items: DataFrame, id_col: str = "ingest_seq", host_col: str
 def residue(items: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", title_col: str = "title", body_col: str = "body_text", note_col: str = "fulltext_note", least: int = 3, short: int = 400, parted: DataFrame | None = None) -> DataFrame:
     """(id, field_name) of the values that hold residue in the place of content; field_name is the column.
 
-    Method. What a page keeps after its furniture is pruned is aligned with the other pages. A variable
+    Method. What a page keeps after its furniture is pruned, and furniture that is residue itself, is aligned with the other pages. A variable
     left in it is a slot nobody filled, unless it is quoted or the same variable stands between the same
     words beside `least` or more stories: then it is part of a sentence about templates. Lines of filler
     or of values that were never filled count wherever they stand. Short pages (up to `short`

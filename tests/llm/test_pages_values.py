@@ -129,6 +129,17 @@ def test_residue(spark):
     assert residue.residue(df.limit(0)).count() == 0
 
 
+def test_residue_on_many_pages_is_no_furniture(spark):
+    r = random.Random(21)
+    rows = []
+    for i in range(40):
+        slot = {0: "{{{title}}}", 1: "undefined"}.get(i % 4)
+        lines = [*([slot] if slot else []), *(sentence(r) for _ in range(6))]
+        rows.append((i, f"host{i % 2}", headline(r), "\n".join(lines), ""))
+    df = spark.createDataFrame(rows, "ingest_seq bigint, source_id string, title string, body_text string, fulltext_note string")
+    assert {x["ingest_seq"] for x in residue.residue(df).collect()} == {i for i in range(40) if i % 4 < 2}
+
+
 def test_ends():
     f = lambda t: truncation.form(truncation.strip_counters(t))[0]
     for t in ("The ferry opened...", "The ferry op…", "The ferry [...]", "The ferry was (more)", "The ferry was... Read more", "渡轮 阅读全文"):
