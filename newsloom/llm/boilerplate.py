@@ -180,7 +180,7 @@ def _classify(model):
 def _parted(model, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, gone, rest, size = [], [], [], []
+            ids, gone, rest, size, page = [], [], [], [], []
             for id_, host, lines, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 found = page_lines(lines, *_flags(model, host, lines, keys))
                 out = set(found)
@@ -189,10 +189,13 @@ def _parted(model, wanted):
                 gone.append(found)
                 size.append(sum(map(len, kept)))
                 if wanted is not None:
-                    kept, size[-1] = wanted(kept, size[-1], [lines[i - 1] for i in found])
+                    kept, size[-1], print_ = wanted(kept, size[-1], [lines[i - 1] for i in found])
+                    page.append(print_)
+                else:
+                    page.append(None)
                 rest.append(kept)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(size, pa.int64()), pa.array(rest, pa.list_(pa.string()))], names=["id", "gone", "size", "rest"]
+                [pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(size, pa.int64()), pa.array(rest, pa.list_(pa.string())), pa.array(page, pa.string())], names=["id", "gone", "size", "rest", "page"]
             )
 
     return run
@@ -254,12 +257,13 @@ def furniture_lines(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "
 
 
 def parted_pages(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree(), model: Model | None = None, wanted=None) -> DataFrame:
-    """(id, gone, size, rest): the numbers of each page's furniture lines, how many characters the others hold and those others.
+    """(id, gone, size, rest, page): the numbers of each page's furniture lines, how many characters the others hold and those others.
 
-    `wanted(lines, size, furniture)` may pick which lines are carried along and correct `size`, which counts all the others.
+    `wanted(lines, size, furniture)` may pick which lines are carried along, correct `size`, which counts
+    all the others, and give a fingerprint of the whole `page`, null without it.
     """
     model = model or fit(df, id_col, host_col, body_col, tree)
-    return _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_parted(model, wanted), "id bigint, gone array<int>, size bigint, rest array<string>")
+    return _marked(_pages(df, id_col, host_col, body_col), model).mapInArrow(_parted(model, wanted), "id bigint, gone array<int>, size bigint, rest array<string>, page string")
 
 
 def main_text(df: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text", tree: StyleTree = StyleTree()) -> DataFrame:

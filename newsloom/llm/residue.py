@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from http import HTTPStatus
 
 import pyarrow as pa
@@ -73,18 +74,26 @@ _PRINTF = re.compile(r"%[sd]\b")
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 _QUOTED = ("\"'“‘«「『`", "\"'”’»」』`")
 _WORD = re.compile(r"[^\W\d_]+")
+_END = re.compile(r"[.!?。！？…]['\"”’»）)]?$")
 
 
 def placeholders(line: str) -> list[tuple[str, str, str, bool]]:
     """(placeholder, word before, word after, quoted) of each variable left in a line."""
+    return [x[:4] for x in _variables(line)]
+
+
+def _variables(line: str) -> list[tuple[str, str, str, bool, bool]]:
+    """`placeholders` and whether each stands inside a sentence: three words or more on both sides and a sentence's end."""
     out = []
+    ends = bool(_END.search(line))
     for m in _PLACEHOLDER.finditer(line):
         a, b = line[: m.start()].rstrip(), line[m.end() :].lstrip()
         quoted = a[-1:] != "" and a[-1:] in _QUOTED[0] and b[:1] != "" and b[:1] in _QUOTED[1]
         before, after = _WORD.findall(a[-60:]), _WORD.findall(b[:60])
-        out.append((m.group(), before[-1].lower() if before else "", after[0].lower() if after else "", quoted))
+        inside = ends and len(before) >= 3 and len(after) >= 3
+        out.append((m.group(), before[-1].lower() if before else "", after[0].lower() if after else "", quoted, inside))
     if len(_PRINTF.findall(line)) >= 2:
-        out.append(("%s", "", "", False))
+        out.append(("%s", "", "", False, False))
     return out
 
 
@@ -110,6 +119,10 @@ def _mask(line: str) -> str:
     return re.sub(r"\b(?=[0-9a-f]*\d)[0-9a-f]{3,}\b|\d+", "0", line.lower())
 
 
+def _print(text: str) -> str:
+    return blake2b(_mask(text).encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
 _OPENS = re.compile(r"\W*(?:(?i:lorem ipsum)|TODO\b)")
 _SIGNS = ("{", "<", "[", "%", "&&", "__")
 #: Lines of a full article are only read as filler or defaults up to this length; longer ones are sentences.
@@ -122,12 +135,13 @@ def suspects(short: int):
     Lines of the furniture that are residue themselves are read too: a slot or message that recurs on many pages is pruned like a menu.
     """
 
-    def pick(lines: list[str], size: int, furniture: list[str]) -> tuple[list[str], int]:
+    def pick(lines: list[str], size: int, furniture: list[str]) -> tuple[list[str], int, str | None]:
         back = [x for x in furniture if _telling(x)]
+        page = _print(" / ".join(lines)) if lines else None
         size += sum(map(len, back))
         if size <= short:
-            return lines + back, size
-        return [x for x in lines if len(x) <= _LABEL or any(c in x for c in _SIGNS) or _OPENS.match(x) or _pseudo_latin(x)] + back, size
+            return lines + back, size, page
+        return [x for x in lines if len(x) <= _LABEL or any(c in x for c in _SIGNS) or _OPENS.match(x) or _pseudo_latin(x)] + back, size, page
 
     return pick
 
@@ -147,7 +161,7 @@ def _pseudo_latin(x: str) -> bool:
 
 
 def _scan(short: int):
-    """Per page what it holds, as rows (id, kind, a, b, c, quoted); kinds: slot, says, page."""
+    """Per page what it holds, as rows (id, kind, a, b, c, quoted, inside, line); kinds: slot, says."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,26 +170,25 @@ def _scan(short: int):
                 told, kinds = 0, set()
                 for x in rest:
                     if any(c in x for c in _SIGNS):
-                        for p, before, after, quoted in placeholders(x):
-                            rows.append((id_, "slot", p, before, after, quoted))
+                        for p, before, after, quoted, inside in _variables(x):
+                            rows.append((id_, "slot", p, before, after, quoted, inside, _print(x)))
                     kind = says(x) if size <= short or len(x) <= _LABEL else "filler" if _OPENS.match(x) else ""
                     kinds.add(kind)
                     if kind or len(x) <= 60:
                         told += len(x)  # with the buttons and hints beside a message
                 if kinds & {"filler", "default"}:
-                    rows.append((id_, "says", "filler", "", "", False))
+                    rows.append((id_, "says", "filler", "", "", False, False, ""))
                 if 0 < size <= short:
                     if told >= 0.6 * size and kinds & {"error", "notice"}:
-                        rows.append((id_, "says", "error", "", "", False))
-                    rows.append((id_, "page", " / ".join(map(_mask, rest)), "", "", False))
-            cols = list(zip(*rows)) if rows else [()] * 6
-            types = [pa.int64(), *[pa.string()] * 4, pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "kind", "a", "b", "c", "quoted"])
+                        rows.append((id_, "says", "error", "", "", False, False, ""))
+            cols = list(zip(*rows)) if rows else [()] * 8
+            types = [pa.int64(), *[pa.string()] * 4, pa.bool_(), pa.bool_(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "kind", "a", "b", "c", "quoted", "inside", "line"])
 
     return run
 
 
-_SCHEMA = "id bigint, kind string, a string, b string, c string, quoted boolean"
+_SCHEMA = "id bigint, kind string, a string, b string, c string, quoted boolean, inside boolean, line string"
 
 
 def _title_sketch(title):
@@ -205,26 +218,32 @@ def residue(items: DataFrame, id_col: str = "ingest_seq", host_col: str = "sourc
     """(id, field_name) of the values that hold residue in the place of content; field_name is the column.
 
     Method. What a page keeps after its furniture is pruned, and furniture that is residue itself, is aligned with the other pages. A variable
-    left in it is a slot nobody filled, unless it is quoted or the same variable stands between the same
-    words beside `least` or more stories: then it is part of a sentence about templates. Lines of filler
-    or of values that were never filled count wherever they stand. Short pages (up to `short`
-    characters) are aligned whole, with numbers and references masked: a page that stands under `least`
-    or more unlike titles is a repeated error template, and so is one made of server messages or browser
-    notices. The filler vocabulary is learned from the lines that open with its usual words.
+    left in it is a slot nobody filled, unless it is quoted or stands inside a sentence between the same
+    words beside `least` or more stories: then it is part of a sentence about templates, if not the whole
+    sentence recurs too. Lines of filler or of values that were never filled count wherever they stand.
+    Pages of any length are aligned whole, with numbers and references masked: a page that stands under
+    `least` or more unlike titles is a repeated error template; a page of over `short` characters is none
+    if its titles' words mostly stand in it, as those of an article printed under several headlines do. A
+    short page made of server messages or browser notices is an error page too. The filler vocabulary is learned from the lines that open with its usual words.
 
     Null and empty values are no residue; articles that write about such things are none; repeated rows
     are all given; other columns are ignored; an empty table gives no rows.
     """
-    rest = (parted or parted_suspects(items, id_col, host_col, body_col, short)).filter("size(rest) > 0").select("id", "size", "rest")
+    parted = parted or parted_suspects(items, id_col, host_col, body_col, short)
+    rest = parted.filter("size(rest) > 0").select("id", "size", "rest")
     found = pin_table(rest.mapInArrow(_scan(short), _SCHEMA))
     stories = items.select(F.col(id_col).cast("bigint").alias("id"), *[c.alias(f"t{i}") for i, c in enumerate(_title_sketch(F.col(title_col)))])
     distinct = [F.count_distinct(f"t{i}").alias(f"n{i}") for i in range(3)]
     slots = found.filter("kind = 'slot'").join(stories, "id")
     fixed = slots.groupBy("a", "b", "c").agg(*distinct).filter((F.least("n0", "n1", "n2") >= least) & ((F.col("b") != "") | (F.col("c") != ""))).select("a", "b", "c")
-    unfilled = slots.filter("not quoted").join(fixed, ["a", "b", "c"], "left_anti").select("id")
-    pages = found.filter("kind = 'page'").select("id", F.xxhash64("a").alias("p1"), F.xxhash64(F.lit(1), "a").alias("p2")).join(stories, "id")
-    repeated = pages.groupBy("p1", "p2").agg(*distinct).filter(F.least("n0", "n1", "n2") >= least).select("p1", "p2")
-    templates = pages.join(repeated, ["p1", "p2"], "left_semi").select("id")
+    copied = slots.filter("inside").groupBy("line").agg(*distinct).filter(F.least("n0", "n1", "n2") >= least).select("line")
+    about = slots.filter("inside").join(fixed, ["a", "b", "c"], "left_semi").join(copied, "line", "left_anti").select("id", "a", "b", "c", "line")
+    unfilled = slots.filter("not quoted").join(about, ["id", "a", "b", "c", "line"], "left_anti").select("id")
+    pages = parted.filter("page is not null").select("id", "size", "page")
+    often = pages.groupBy("page").count().filter(F.col("count") >= least).select("page")
+    pages = pin_table(pages.join(often, "page", "left_semi").join(stories, "id"))
+    repeated = pages.groupBy("page").agg(*distinct, F.max("size").alias("most")).filter(F.least("n0", "n1", "n2") >= least).select("page", "most")
+    templates = pages.join(repeated.filter(F.col("most") <= short), "page", "left_semi").select("id").union(_unlike_titles(pages.join(repeated.filter(F.col("most") > short), "page", "left_semi"), items, id_col, title_col, body_col))
     told = found.filter("kind = 'says'").select("id")
     latin = _filler_pages(rest)
     body = unfilled.union(templates).union(told).union(latin).distinct()
@@ -232,6 +251,16 @@ def residue(items: DataFrame, id_col: str = "ingest_seq", host_col: str = "sourc
     return body.select(F.col("id").alias(id_col), F.lit(body_col).alias("field_name")).union(notes.select(F.col("id").alias(id_col), F.lit(note_col)))
 
 
+def _unlike_titles(pages: DataFrame, items: DataFrame, id_col: str, title_col: str, body_col: str) -> DataFrame:
+    """(id) of the pages(id, page) whose titles' words mostly do not stand in the page."""
+    words = F.array_distinct(F.filter(F.split(F.lower(title_col), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    inside = F.size(F.filter(words, lambda w: F.contains(F.lower(body_col), w)))
+    share = items.select(F.col(id_col).cast("bigint").alias("id"), F.when(F.size(words) > 0, inside / F.size(words)).alias("share"))
+    told = pages.select("id", "page").join(share, "id")
+    unlike = told.groupBy("page").agg(F.avg("share").alias("share")).filter("coalesce(share, 0) < 0.5").select("page")
+    return pages.join(unlike, "page", "left_semi").select("id")
+
+
 def _filler_pages(rest: DataFrame, words_at_most: int = 5000, share: float = 0.9) -> DataFrame:
     """Pages with a line made of the words that lines opening with 'lorem ipsum' use.
 

@@ -140,6 +140,21 @@ def test_residue_on_many_pages_is_no_furniture(spark):
     assert {x["ingest_seq"] for x in residue.residue(df).collect()} == {i for i in range(40) if i % 4 < 2}
 
 
+def test_templates_left_on_many_records(spark):
+    r = random.Random(22)
+    long = "\n".join(f"Step {k} of the inspection could not be finished because the gateway closed the line before your reader answered it in time." for k in "abcde")
+    same = "\n".join(sentence(r) for _ in range(8))  # one article under several headlines made of its words
+    own = lambda: " ".join(r.sample([w for w in same.replace(".", "").split() if w.isalpha()], 8))
+    rows = [(i, "Dear {{name}}, welcome") for i in range(5)]
+    rows += [(100 + i, f"Dear reader {{{{name}}}}, your copy of the harbor news is ready.\n{sentence(r)}") for i in range(5)]
+    rows += [(200 + i, long) for i in range(6)]
+    rows += [(300 + i, f"{sentence(r)[:-1]} and the page printed {{{{ user }}}} on every invoice of {r.choice(NAMES)} before noon.") for i in range(6)]
+    rows = [(i, f"host{i % 3}", f"{headline(r)} {i}", b, "") for i, b in rows] + [(400 + i, "host1", own(), same, "") for i in range(6)]
+    assert len(long) > 400
+    df = spark.createDataFrame(rows, "ingest_seq bigint, source_id string, title string, body_text string, fulltext_note string")
+    assert {x["ingest_seq"] for x in residue.residue(df).collect()} == {x[0] for x in rows if x[0] < 300}
+
+
 def test_ends():
     f = lambda t: truncation.form(truncation.strip_counters(t))[0]
     for t in ("The ferry opened...", "The ferry op…", "The ferry [...]", "The ferry was (more)", "The ferry was... Read more", "渡轮 阅读全文"):
