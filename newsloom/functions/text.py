@@ -47,8 +47,8 @@ def slug(words: Column, n: int = 6, otherwise: str = "misc-event") -> Column:
 
 
 def named_words(c: Column) -> Column:
-    """Words that begin with a capital or are acronyms, as written, distinct, in order."""
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(r"\b([A-Z][A-Za-z0-9&.\-]+)"), F.lit(1)))
+    """Words that begin with a capital or are acronyms, as written, distinct, in order; no pieces of words with other letters."""
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?U)\b([A-Z][A-Za-z0-9&.\-]+)(?![\p{L}\p{N}])"), F.lit(1)))
 
 
 def has_keyword(text: Column, keyword: str) -> Column:

@@ -322,8 +322,17 @@ def phrase_matches(spark: SparkSession, d: str) -> DataFrame:
           WHERE regexp_full_match(title, '[ -~]*')) t GROUP BY 1""")
 def named_words(spark: SparkSession, d: str) -> DataFrame:
     """Over titles in ASCII, where the SQL engine's word boundaries agree."""
-    x = _items(spark, d).filter(F.col("title").rlike("^[ -~]*$")).select(F.explode(text.named_words(F.col("title"))).alias("name"))
-    return x.groupBy("name").agg(F.count("*").alias("n"))
+    return _name_counts(_items(spark, d).filter(F.col("title").rlike("^[ -~]*$")))
+
+
+@query()
+def named_words_all(spark: SparkSession, d: str) -> DataFrame:
+    """Over all titles."""
+    return _name_counts(_items(spark, d))
+
+
+def _name_counts(x: DataFrame) -> DataFrame:
+    return x.select(F.explode(text.named_words(F.col("title"))).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT ingest_seq, (length(regexp_replace(coalesce(title,''), '[^A-Za-z]', '', 'g')) >= 8 AND length(regexp_replace(coalesce(title,''), '[^A-Za-z]', '', 'g')) >
@@ -441,7 +450,17 @@ _PRINTABLE = "title IS NOT NULL AND regexp_full_match(title, '[!-~]+( [!-~]+)*')
 @query(f"SELECT source_id, title, source_url, count(*) AS n FROM raw_items WHERE {_PRINTABLE} GROUP BY 1, 2, 3")
 def rss_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Items written as one RSS payload per run and source, read back by the feed reader."""
-    x = _items(spark, d).filter(F.col("title").rlike("^[!-~]+( [!-~]+)*$") & (F.col("source_url") != ""))
+    return _through_rss(_items(spark, d).filter(F.col("title").rlike("^[!-~]+( [!-~]+)*$") & (F.col("source_url") != "")))
+
+
+@query()
+def rss_round_trip_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every item through the RSS reader, which squeezes blanks and strips markup."""
+    e = text.missing_as_empty
+    return _through_rss(_items(spark, d).withColumns({"title": e(F.col("title")), "source_url": e(F.col("source_url"))}))
+
+
+def _through_rss(x: DataFrame) -> DataFrame:
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     item = F.concat(F.lit("<item><title>"), esc(F.col("title")), F.lit("</title><link>"), esc(F.col("source_url")), F.lit("</link></item>"))
     # a payload is one run's listing of a source: a few hundred items
@@ -451,7 +470,16 @@ def rss_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT source_id, title, summary, byline, coalesce(source_tags, []) AS source_tags, count(*) AS n FROM raw_items WHERE title <> '' AND regexp_full_match(summary, '[!-%''-;=?-~]+( [!-%''-;=?-~]+)*') AND byline <> '' GROUP BY 1, 2, 3, 4, 5")
 def json_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    x = _items(spark, d).filter(F.col("summary").rlike("^[!-%'-;=?-~]+( [!-%'-;=?-~]+)*$") & (F.col("title") != "") & (F.col("byline") != ""))
+    return _through_json(_items(spark, d).filter(F.col("summary").rlike("^[!-%'-;=?-~]+( [!-%'-;=?-~]+)*$") & (F.col("title") != "") & (F.col("byline") != "")))
+
+
+@query()
+def json_round_trip_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every item through the JSON reader, which cleans the summary."""
+    return _through_json(_items(spark, d))
+
+
+def _through_json(x: DataFrame) -> DataFrame:
     listing = x.groupBy("run_id", "source_id").agg(F.to_json(F.struct(F.collect_list(F.struct("title", "summary", "byline", "source_tags")).alias("items"))).alias("payload"))
     got = feeds.json_items(listing.select("source_id", "payload"), "$.items", {"title": "$.title", "summary": ["$.abstract", "$.summary"], "byline": "$.byline", "source_tags": "$.source_tags"})
     return got.groupBy("source_id", "title", "summary", "byline", "source_tags").agg(F.count("*").alias("n"))
