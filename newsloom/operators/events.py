@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -109,3 +111,33 @@ def group_summary(items: DataFrame, groups: DataFrame, id_col: str, source: str,
         F.min(at).alias("first_seen"),
         F.max(at).alias("last_seen"),
     )
+
+
+def member_ids(df: DataFrame, key: str, id_col: str, length: int = 12) -> DataFrame:
+    """(key, event_id, n) of every key with two rows or more; the id is SHA-1 over all members, sorted as text and joined by '|'.
+
+    Members pass sorted through the hash, so a group of any size takes constant memory.
+    """
+
+    def run(batches):
+        at, n, h = None, 0, None
+        for batch in batches:
+            out = []
+            for k, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if h is not None and k == at:
+                    h.update(b"|" + m.encode())
+                    n += 1
+                    continue
+                if n > 1:
+                    out.append((at, h.hexdigest()[:length], n))
+                at, n, h = k, 1, hashlib.sha1(m.encode())
+            yield _batch(out)
+        yield _batch([(at, h.hexdigest()[:length], n)] if n > 1 else [])
+
+    def _batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["k", "event_id", "n"])
+
+    members = df.select(F.col(key).alias("k"), F.col(id_col).cast("string").alias("m"))
+    repeated = members.groupBy("k").count().filter("count > 1").select("k")
+    rows = members.join(repeated, "k", "left_semi").repartition("k").sortWithinPartitions("k", "m")
+    return rows.mapInArrow(run, "k string, event_id string, n bigint").select(F.col("k").alias(key), "event_id", "n")

@@ -608,11 +608,9 @@ def pipeline_ranking(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT k AS title_key, substr(sha1(string_agg(ingest_seq::VARCHAR, '|' ORDER BY ingest_seq::VARCHAR)), 1, 12) AS event_id, count(*) AS n FROM (SELECT ingest_seq,
           trim(regexp_replace({_KEY}, '[^a-z0-9\\x{{4e00}}-\\x{{9fff}} ]', '', 'g')) AS k FROM raw_items) t WHERE k <> '' GROUP BY 1 HAVING count(*) BETWEEN 2 AND 50""")
 def event_ids(spark: SparkSession, d: str) -> DataFrame:
-    """An id over the members of each small group of one title; larger groups are listings, named by their key alone."""
+    """An id over the sorted members of each title's group of two or more, however large."""
     x = _items(spark, d).select("ingest_seq", text.title_key(text.missing_as_empty(F.col("title"))).alias("title_key")).filter("title_key <> ''")
-    size = x.groupBy("title_key").agg(F.count("*").alias("n")).filter("n between 2 and 50")
-    ids = x.join(size, "title_key").groupBy("title_key", "n").agg(F.array_sort(F.collect_list(F.col("ingest_seq").cast("string"))).alias("m"))  # 50 at most
-    return ids.select("title_key", F.substring(F.sha1(F.array_join("m", "|")), 1, 12).alias("event_id"), "n")
+    return events.member_ids(x, "title_key", "ingest_seq")
 
 
 @query("""SELECT section, ingest_seq, place FROM (SELECT section, ingest_seq, row_number() OVER (PARTITION BY section ORDER BY CASE WHEN rank_position > 0 THEN rank_position ELSE 9999 END, fetched_at DESC, ingest_seq) AS place

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from newsloom import queries
@@ -16,6 +17,12 @@ def _rows():
     return [(i, "r", f"s{i % 2}", t, f"http://x.org/{i}", f"{t} am Abend", "Jörg Ås", ["tag"], TIMES[i]) for i, t in enumerate(TITLES)]
 
 
+def test_event_ids_of_large_groups(spark, tmp_path):
+    rows = [(i, "r", "s", "One large title" if i < 120 else "Small group" if i < 123 else f"Alone {i}", "", "", "", [], "") for i in range(130)]
+    want = {(n, hashlib.sha1("|".join(sorted(map(str, m))).encode()).hexdigest()[:12]) for n, m in ((120, range(120)), (3, range(120, 123)))}
+    assert {(r["n"], r["event_id"]) for r in queries.QUERIES["event_ids"](spark, _folder(spark, tmp_path, rows)).collect()} == want
+
+
 def test_readers_and_names_beyond_ascii(spark, tmp_path):
     folder = _folder(spark, tmp_path, _rows())
     names = {r["name"]: r["n"] for r in queries.QUERIES["named_words_all"](spark, folder).collect()}
