@@ -94,6 +94,13 @@ def iso_instants(spark: SparkSession, d: str) -> DataFrame:
     return x.select("ingest_seq", times.iso_instant(F.col("published_at")).cast("timestamp_ntz").alias("instant"))
 
 
+@query()
+def iso_instants_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every ISO value, with fractions, offsets and the ends of months; null where the date is impossible."""
+    x = _items(spark, d).filter(F.col("published_at").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([Tt ]|$)"))
+    return x.select("ingest_seq", times.iso_instant(F.col("published_at")).cast("timestamp_ntz").alias("instant"))
+
+
 @query("""SELECT r.ingest_seq, greatest(0, floor(epoch(g.generated_at - r.fetched_at) / 3600))::INT AS hours_before
           FROM raw_items r JOIN ingest_runs g USING (run_id)""")
 def hours_before_run(spark: SparkSession, d: str) -> DataFrame:

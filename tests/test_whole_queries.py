@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 import json
 
@@ -23,6 +24,12 @@ def test_event_ids_of_large_groups(spark, tmp_path):
     assert {(r["n"], r["event_id"]) for r in queries.QUERIES["event_ids"](spark, _folder(spark, tmp_path, rows)).collect()} == want
 
 
+def test_iso_instants_of_month_ends(spark, tmp_path):
+    got = {r["ingest_seq"]: r["instant"] for r in queries.QUERIES["iso_instants_all"](spark, _folder(spark, tmp_path, _rows())).collect()}
+    d = dt.datetime
+    assert got == {0: d(2025, 1, 31, 10), 1: d(2025, 1, 29, 23, 59, 59), 2: None, 3: d(2025, 3, 30, 10, 0, 0, 250_000), 4: d(2025, 3, 31, 8)}
+
+
 def test_readers_and_names_beyond_ascii(spark, tmp_path):
     folder = _folder(spark, tmp_path, _rows())
     names = {r["name"]: r["n"] for r in queries.QUERIES["named_words_all"](spark, folder).collect()}
