@@ -50,16 +50,39 @@ def test_groups_match_brute_force(spark):
     assert neardup.near_duplicate_groups(df.limit(0), "id", "story").count() == 0
 
 
-def test_long_runs_are_paired_in_blocks():
+def test_long_lists_spread_over_blocks(spark):
+    random.seed(8)
+    base = _texts(1, 5)[0].split()
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        copy[random.randrange(len(copy))] = f"word{i}"
+        rows.append((i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc bigint, text string").repartition(1)
+    pairs = lambda **k: {tuple(r) for r in neardup.candidate_pairs(df, neardup.Signature(**k)).collect()}
+    whole = pairs()
+    assert len(whole) > 0.9 * 150 * 149 / 2
+    assert pairs(block=16) == whole == pairs(block=1000)
+
+
+def test_pairs_below_the_match_threshold_are_dropped(spark):
+    rows = [(i, t) for i, t in enumerate(dict.fromkeys(_texts(30, 9)))]
+    df = spark.createDataFrame(rows, "doc bigint, text string")
+    count = lambda m: {tuple(r) for r in neardup.candidate_pairs(df, neardup.Signature(match=m)).collect()}
+    one, two, four = count(1), count(2), count(4)
+    assert four <= two <= one and len(four) < len(one)
+
+
+def test_odds_of_finding_a_link():
     import numpy as np
 
-    n = 1500
-    doc = np.arange(n)
-    s = np.zeros(n, np.uint64)
-    found = set()
-    for a, b in neardup._run_pairs(doc, s, s, np.array([0]), np.array([n]), 92):
-        found |= set(zip(a.tolist(), b.tolist()))
-    assert len(found) == n * (n - 1) // 2
+    s = neardup.Signature()
+    rng = np.random.default_rng(s.seed + 1)
+    chosen = [rng.choice(s.minima, s.width, replace=False) for _ in range(s.coordinates)]
+    equal = np.random.default_rng(1).random((20000, s.minima))
+    for similarity, odds in ((0.65, 0.95), (0.7, 0.985), (0.75, 0.995)):
+        met = sum((equal[:, c] < similarity).all(axis=1).astype(int) for c in chosen)
+        assert (met >= s.match).mean() > odds
 
 
 def test_story_text(spark):
