@@ -214,3 +214,32 @@ def test_copy_that_goes_on(spark):
     df = spark.createDataFrame(rows, "ingest_seq bigint, title string")
     got = {x["ingest_seq"]: x["why"] for x in truncation.cut_values(df, "ingest_seq", ["title"]).collect()}
     assert got == {901: "copy goes on inside the word"}
+
+
+def test_alignment_alone_finds_cut_copies(spark):
+    """Long lists (joined by last words) and short ones (paired) flag the same copies."""
+    import random
+
+    random.seed(3)
+    words = ["".join(random.choice("abcdefghiklmnoprstuvw") for _ in range(random.randint(4, 9))) for _ in range(300)]
+    rows, cut = [], set()
+    head = [random.choice(words) for _ in range(30)]
+    for i in range(120):
+        body = head[:26] + [random.choice(words) for _ in range(14)]
+        rows.append((2 * i, " ".join(body) + "."))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, " ".join(body[:33]) + " " + body[33][:-2]))
+            cut.add(2 * i + 1)
+    df = spark.createDataFrame(rows, "v bigint, text string")
+    read = df.mapInArrow(truncation._read(truncation.Closing()), truncation._READ).filter("v is not null")
+    for limit in (8, 64, 4096):
+        got = {x["v"] for x in truncation._alignments(read, truncation.Closing(long_list=limit)).filter("how = 'word'").collect()}
+        assert got == cut, limit
+
+
+def test_near_copies_are_verified():
+    c = truncation.Closing()
+    full = "the harbor council of the old town opened nine bridges on monday after two years of work"
+    assert truncation.near_copy("the harbor council of the old town opened nine bridges on mon", full, c)
+    assert not truncation.near_copy("a wholly other start before the old town opened nine bridges on mon", full, c)
+    assert truncation.bare("One two three... Read more") == "One two three"
