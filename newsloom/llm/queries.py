@@ -21,7 +21,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "raw_items")
     parted = residue.parted_suspects(items)
     bodies = residue.residue(items, parted=parted).filter("field_name = 'body_text'").select("ingest_seq")
-    lines = parted.select(F.col("id").alias("ingest_seq"), F.explode("gone").alias("line_no"))
+    lines = parted[0].select(F.col("id").alias("ingest_seq"), F.explode("gone").alias("line_no"))
     return lines.join(bodies, "ingest_seq", "left_anti")
 
 

@@ -243,3 +243,32 @@ def test_near_copies_are_verified():
     assert truncation.near_copy("the harbor council of the old town opened nine bridges on mon", full, c)
     assert not truncation.near_copy("a wholly other start before the old town opened nine bridges on mon", full, c)
     assert truncation.bare("One two three... Read more") == "One two three"
+
+
+def test_messages_of_any_length_are_read(spark):
+    """A notice of one long sentence, a long error page and a long filler line count like short ones; an article about them does not."""
+    notice = "To read this page please enable JavaScript in the settings of the program you use to look at pages, since nothing here can be shown without it"
+    assert len(notice) > 120
+    error = " ".join(f"The requested page could not be found on the server number {i} of our cluster, please go back to the start and try it again later." for i in range(8))
+    article = "The ministry said that many readers saw the words access denied on Monday. " + "It gave no reason for the outage of the port register, and the harbor council met again. " * 8
+    vocabulary = frozenset(["dolor", "sit", "amet", "elit"])
+    long_filler = "dolor sit amet elit " * 40 + "harbor"
+    assert residue.told(notice) == ("notice", len(notice)) and residue.says(error) == "error"
+    assert residue.told(article)[1] < 0.2 * len(article)
+    assert residue._made_of(long_filler, vocabulary) and not residue._made_of("dolor " + article, vocabulary)
+    assert residue.repeated("sample words, " * 500) and not residue.repeated(article) and not residue.repeated("=======")
+    for x in ("This sample text goes here", "Page not found", "JavaScript is disabled", "Seite nicht gefunden.", "运行 启用JavaScript"):
+        assert residue._worded(x) and residue.says(x), x
+    rows = [(1, "s", f"Title one {notice[:9]}", notice), (2, "s", "Second", error), (3, "s", "Port register", article), (4, "s", "Fourth", article + "\n" + article.replace("Monday", "Friday") + "\nplease enable JavaScript")]
+    df = spark.createDataFrame([(*r, None) for r in rows], "ingest_seq bigint, source_id string, title string, body_text string, fulltext_note string")
+    assert {x["ingest_seq"] for x in residue.residue(df).collect()} == {1, 2}
+
+
+def test_literals_stand_in_what_their_patterns_match():
+    import re
+
+    for block in (residue.ERRORS, residue.NOTICES, residue.FILLERS):
+        for word in residue._LITERALS:
+            assert word == word.lower() and word.strip()
+    assert all(any(w in x for w in residue._LITERALS) for x in ("vérifiez votre navigateur", "error code: 5", "gateway timeout page", "verify that you're human", "sample paragraph"))
+    assert re.search(residue._NOTICE, "verify you are human")
