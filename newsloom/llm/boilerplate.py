@@ -27,6 +27,7 @@ RIGHTS = ("all rights reserved", "rechte vorbehalten", "derechos reservados", "d
 RIGHTS_OPEN = ("©", "(c) 1", "(c) 2", "copyright", "版权所有")
 
 _SENTENCE = re.compile(r"[.!?。！？…]['\"”’»）)]?$")
+_CLAUSES = re.compile(r"[^.!?。！？]+[.!?。！？]*\s*")
 _DASHED = re.compile(r"^[-*•–—▪●]\s*\S")
 _MARKS = ("|", "·", "•", "›", "»", "/", "≡", "  ")
 _SPLIT = re.compile(r"\s*[|·•›»/≡]\s*|\s{2,}")
@@ -55,7 +56,6 @@ class StyleTree:
 
     host: float = 1 / 3.5
     all_hosts: float = 1 / 7.5
-    least_hosts: int = 2
     sentence: float = 1 / 11.5
     article_chars: int = 300
     beside_article: float = 0.1
@@ -91,11 +91,11 @@ def low_nodes(pages: DataFrame, tree: StyleTree) -> DataFrame:
     count = each.select("host", "story", "r", "l.*").filter("key is not null").repartition("key", "story").groupBy("key", "story", "host").agg(F.count("*").alias("n"), F.max("s").alias("s"), F.sum("p").alias("p"), F.sum("r").alias("r"))  # one shuffle serves both uses
     h = F.log2(F.count("*"))  # of equal shares, one per story
     whole = (
-        count.groupBy("key", "story").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("r").alias("r"), F.max("s").alias("s"), F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(host), 64) as int)))").alias("hosts"))
-        .groupBy("key").agg(F.count("*").alias("stories"), h.alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"), (F.sum("r") >= tree.beside_article * F.sum("n")).alias("beside"), F.bit_count(F.expr("bit_or(hosts)")).alias("hosts"))
+        count.groupBy("key", "story").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("r").alias("r"), F.max("s").alias("s"), F.min("host").alias("lo"), F.max("host").alias("hi"))
+        .groupBy("key").agg(F.count("*").alias("stories"), h.alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"), (F.sum("r") >= tree.beside_article * F.sum("n")).alias("beside"), (F.min("lo") < F.max("hi")).alias("several"))
     )
-    seen = pin_table(whole.filter((F.col("stories") >= 2) & F.col("beside")).withColumn("importance", F.pow(F.lit(2.0), -F.col("h"))).filter(F.col("importance") <= tree.host).select("key", "importance", "hosts", "s", "heads"))
-    everywhere = seen.filter((F.col("hosts") >= tree.least_hosts) & (F.col("importance") <= F.when(F.col("s"), tree.sentence).otherwise(tree.all_hosts)))
+    seen = pin_table(whole.filter((F.col("stories") >= 2) & F.col("beside")).withColumn("importance", F.pow(F.lit(2.0), -F.col("h"))).filter(F.col("importance") <= tree.host).select("key", "importance", "several", "s", "heads"))
+    everywhere = seen.filter(F.col("several") & (F.col("importance") <= F.when(F.col("s"), tree.sentence).otherwise(tree.all_hosts)))
     own = count.join(seen.select("key"), "key").groupBy("key", "host").agg(h.alias("h"), F.max("s").alias("s"), (F.sum("p") * 2 >= F.sum("n")).alias("heads"))
     own = own.filter(F.pow(F.lit(2.0), -F.col("h")) <= F.when(F.col("s"), tree.sentence).otherwise(tree.host))
     return everywhere.select("key", F.lit(None).cast("string").alias("host"), "heads").union(own.select("key", "host", "heads"))
@@ -114,10 +114,11 @@ def _is_rights(line: str) -> bool:
 
 
 def _is_consent(line: str) -> bool:
-    if len(line) >= 220:
-        return False
+    """Half of the line or more are sentences about stored identifiers, without quotations and figures."""
     low = line.lower()
-    return any(k in low for k in CONSENT) and not any(c in line for c in "\"“0123456789")
+    if not any(k in low for k in CONSENT) or any(c in line for c in "\"“0123456789"):
+        return False
+    return 2 * sum(len(x) for x in _CLAUSES.findall(low) if any(k in x for k in CONSENT)) >= len(low)
 
 
 def page_lines(lines: list[str], low: list[bool], heads: list[bool]) -> list[int]:

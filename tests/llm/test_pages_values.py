@@ -272,3 +272,17 @@ def test_literals_stand_in_what_their_patterns_match():
             assert word == word.lower() and word.strip()
     assert all(any(w in x for w in residue._LITERALS) for x in ("vérifiez votre navigateur", "error code: 5", "gateway timeout page", "verify that you're human", "sample paragraph"))
     assert re.search(residue._NOTICE, "verify you are human")
+
+
+def test_nodes_joined_or_held_part_pages_alike(spark):
+    """The table of low nodes may be joined line by line instead of held by the workers."""
+    pages = [(10 * h + i, f"host{h}", f"Home\nNews {i}\n\n" + f"Story {i} of host {h} tells at length how council {i * 7 + h} met and decided on bridge {i}. " * 5 + "\n\nContact us\nTerms of use") for h in range(3) for i in range(9)]
+    df = spark.createDataFrame(pages, "ingest_seq bigint, source_id string, body_text string")
+    rows = lambda **k: sorted(map(tuple, boilerplate.furniture_lines(df, tree=boilerplate.StyleTree(**k)).collect()))
+    assert rows() == rows(blocks_over=0) and len(rows()) > 0
+
+
+def test_long_consent_lines():
+    short = "We use cookies to measure visits."
+    assert boilerplate._is_consent(short) and boilerplate._is_consent(" ".join([short, "You may withdraw consent at any time in the settings of this page."] * 6))
+    assert not boilerplate._is_consent("The council said that cookies were handed out. " + "It then met for hours and decided on the bridge over the river. " * 4)
