@@ -27,6 +27,7 @@ MONTHS = """
 # Minutes east of UTC of abbreviations, used where the source's own zone does not know one.
 ABBREVIATIONS = {"utc": 0, "gmt": 0, "z": 0, "ut": 0, "est": -300, "edt": -240, "cst": -360, "cdt": -300, "mst": -420, "mdt": -360, "pst": -480, "pdt": -420, "cet": 60, "cest": 120, "wet": 0, "west": 60, "eet": 120, "eest": 180, "bst": 60, "ist": 330, "msk": 180, "jst": 540, "kst": 540, "hkt": 480, "aest": 600, "aedt": 660, "acst": 570, "awst": 480, "nzst": 720, "nzdt": 780}
 
+_UTC_NAMES = ("utc", "gmt", "z", "ut")
 _TIME = r"(\d{1,2})[:h](\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
 _OFFSET = r"(Z|z|[+-]\d{2}:?\d{2}|\p{Alpha}{2,5})"
 _NAME = r"(\p{L}{3,})\.?"
@@ -139,24 +140,44 @@ def _instant(local_us: Column, zone: Column) -> Column:
 
 
 def estimate_zones(readings: DataFrame, candidates: list[str], tolerance: float = 0.01, least: int = 5) -> DataFrame:
-    """(source, zone_name, violations, lag_s) for each source of readings(source, local_us, arrived_us).
-
-    Every candidate's offset history turns the local times into instants. An instant after the arrival
-    is a violation; of the candidates within `tolerance` of the fewest violations the one with the least
-    median lag is taken, that is the easternmost clock that still keeps to the order. Candidates with the
-    same offsets over a source's readings tie and the first by name is taken. Sources with fewer than
-    `least` readings get no estimate. Aggregated per source and
-    candidate, so a source with a third of all rows costs one partial aggregate per partition.
+    """(source, zone_name, violations, lag_s, n) for each source of readings(source, local_us, arrived_us, offset_s, abbr, zone).
+
+    Every candidate's offset history turns the local times into instants. It is violated by a reading
+    without zone whose instant lies after the arrival, and by one that states its offset from UTC (or an
+    abbreviation, or a zone) where the history has another; UTC itself is written by clocks of all zones
+    and tells nothing. Of the candidates within `tolerance` of the smallest share of violations the one
+    with the least median lag is taken, that is the westernmost clock that still keeps to the order.
+    Candidates that tie in all that are taken by name. Sources with fewer than `least` telling readings
+    get no estimate; null times are no readings. Aggregated per source and candidate, so a source with a
+    third of all rows costs one partial aggregate per partition.
     """
-    each = readings.filter("local_us is not null and arrived_us is not null").withColumn("zone_name", F.explode(F.array(*[F.lit(z) for z in candidates]))) if candidates else readings.withColumn("zone_name", F.lit(None).cast("string")).limit(0)
-    lag = (F.col("arrived_us") - _instant(F.col("local_us"), F.col("zone_name"))) / 1e6
+    spark = readings.sparkSession
+    known = zone_abbreviations(spark, candidates or ["UTC"])
+    offset, abbr, zone = F.col("offset_s"), F.col("abbr"), F.col("zone")
+    neutral = (F.coalesce(offset, F.lit(1)) == 0) | F.coalesce(abbr.isin(*_UTC_NAMES), F.lit(False))
+    bare = offset.isNull() & abbr.isNull() & zone.isNull()
+    own = readings.filter("local_us is not null and arrived_us is not null").filter(~neutral | zone.isNotNull())
+    own = own.select("source", "local_us", "arrived_us", "offset_s", "abbr", F.when(zone.isin(_zones()), zone).alias("zone"), bare.alias("bare"))
+    own = own.filter("bare or offset_s is not null or abbr is not null or zone is not null")
+    each = own.withColumn("zone_name", F.explode(F.array(*[F.lit(z) for z in candidates]))) if candidates else own.withColumn("zone_name", F.lit(None).cast("string")).limit(0)
+    each = each.join(F.broadcast(known), ["zone_name", "abbr"], "left")  # a few rows for each candidate
+    instant = _instant(F.col("local_us"), F.col("zone_name"))
+    lag = F.when(F.col("bare"), (F.col("arrived_us") - instant) / 1e6)
+    east = F.round((F.col("local_us") - instant) / 1e6)
+    stated = F.coalesce("offset_s", "seconds", F.round((F.col("local_us") - _instant(F.col("local_us"), F.col("zone"))) / 1e6))
+    wrong = F.when(F.col("bare"), F.col("lag") < 0).otherwise(F.coalesce(stated != east, F.lit(True)))
     cost = each.withColumn("lag", lag).groupBy("source", "zone_name").agg(
-        F.avg((F.col("lag") < 0).cast("double")).alias("violations"), F.percentile_approx("lag", 0.5, 1000).alias("lag_s"), F.count("*").alias("n")
+        F.avg(wrong.cast("double")).alias("violations"), F.percentile_approx("lag", 0.5, 1000).alias("lag_s"), F.count("*").alias("n")
     ).filter(F.col("n") >= least)
     best = cost.groupBy("source").agg(F.min("violations").alias("least"))
     near = cost.join(best, "source").filter(F.col("violations") <= F.col("least") + tolerance)
-    pick = near.groupBy("source").agg(F.min_by(F.struct("zone_name", "violations", "lag_s"), F.struct("lag_s", "zone_name")).alias("p"))
-    return pick.select("source", "p.zone_name", "p.violations", "p.lag_s")
+    pick = near.groupBy("source").agg(F.min_by(F.struct("zone_name", "violations", "lag_s", "n"), F.struct("lag_s", "zone_name")).alias("p"))
+    return pick.select("source", "p.zone_name", "p.violations", "p.lag_s", "p.n")
+
+
+def dateonly(local_us: Column, blank: Column) -> Column:
+    """A local midnight without zone: most likely a date alone, which says nothing about the clock."""
+    return blank & (F.pmod(local_us, F.lit(86_400_000_000)) == 0)
 
 
 def to_instants(items: DataFrame, clocks: DataFrame, id_col: str = "ingest_seq", value_col: str = "published_at", source_col: str = "source_id", arrived_col: str = "fetched_at", use_clocks: bool = True) -> DataFrame:
@@ -178,13 +199,14 @@ def to_instants(items: DataFrame, clocks: DataFrame, id_col: str = "ingest_seq",
     read = read.filter("local_us is not null or epoch_us is not null")
     zone_ok = F.col("_zone").isin(_zones())
     blank = F.col("local_us").isNotNull() & F.col("offset_s").isNull() & F.col("abbr").isNull() & F.col("zone").isNull()
-    guessed = estimate_zones(read.filter(blank & ~F.coalesce(zone_ok, F.lit(False))).select(F.col("_source").alias("source"), "local_us", "arrived_us"), names)
+    unstated = read.filter(~F.coalesce(zone_ok, F.lit(False))).select(F.col("_source").alias("source"), "local_us", "arrived_us", "offset_s", "abbr", "zone", blank.alias("blank"))
+    guessed = estimate_zones(unstated.filter(~dateonly(F.col("local_us"), F.col("blank"))), names)
     read = read.join(guessed.select(F.col("source").alias("_source"), F.col("zone_name").alias("_guess")), "_source", "left")
     abbr = zone_abbreviations(spark, names or ["UTC"]).withColumnsRenamed({"zone_name": "_zone"})
     clock = F.coalesce(F.when(zone_ok, F.col("_zone")), F.col("_guess"), F.lit("UTC"))
     read = read.withColumn("_zone", clock).join(abbr, ["_zone", "abbr"], "left")
     fixed = F.create_map(*[x for k, m in ABBREVIATIONS.items() for x in (F.lit(k), F.lit(m * 60))])
-    offset = F.coalesce("offset_s", F.when(F.col("abbr").isin("utc", "gmt", "z", "ut"), 0), F.col("seconds"), F.try_element_at(fixed, F.col("abbr")))
+    offset = F.coalesce("offset_s", F.when(F.col("abbr").isin(*_UTC_NAMES), 0), F.col("seconds"), F.try_element_at(fixed, F.col("abbr")))
     named = F.when(F.col("zone").isin(_zones()), F.col("zone"))
     spoilt = (F.col("abbr").isNotNull() & offset.isNull() & named.isNull()) | (F.col("zone").isNotNull() & named.isNull())
     us = (

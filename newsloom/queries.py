@@ -83,8 +83,8 @@ def p7_zone_estimates(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d).join(clocks.select("source_id", "date_order"), "source_id", "left")
     own = items.select(F.col("source_id").alias("source"), "published_at", "date_order", timestamps.utc_micros(items, "fetched_at").alias("arrived_us"))
     p = timestamps.parse_notation(own, "published_at", "date_order")
-    dated = p.filter("local_us is not null and offset_s is null and abbr is null and zone is null and local_us % 86400000000 <> 0")
-    found = timestamps.estimate_zones(dated.select("source", "local_us", "arrived_us"), names)
+    blank = F.col("offset_s").isNull() & F.col("abbr").isNull() & F.col("zone").isNull()
+    found = timestamps.estimate_zones(p.filter(~timestamps.dateonly(F.col("local_us"), blank)), names)
     return found.join(clocks.select(F.col("source_id").alias("source"), F.col("zone_name").alias("stated_zone")), "source", "left")
 
 

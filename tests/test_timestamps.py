@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.operators import timestamps
 
@@ -74,3 +75,14 @@ def test_zone_estimate(spark, zone):
     want = {i: int(dt.datetime.strptime(v, "%Y-%m-%d %H:%M:%S").replace(tzinfo=zoneinfo.ZoneInfo(zone)).timestamp() * 1e6) for i, _, v, _ in rows}
     assert {r["ingest_seq"]: r["published_us"] for r in out.collect()} == want
     assert {r["read_by"] for r in out.collect()} == {"estimate"}
+
+
+def test_stated_offsets_decide_where_arrivals_cannot(spark):
+    """Slow arrivals fit clocks further west as well; the source's own offsets, one per season, name the history."""
+    rows = [(i, "s", f"2025-{m:02d}-10 0{i % 10}:15", "2025-12-30 00:00:00", "x") for i, m in enumerate([1, 2, 3, 6, 7, 8] * 2)]
+    rows += [(100, "s", "2025-01-05T10:00:00+01:00", "2025-12-30 00:00:00", "x"), (101, "s", "2025-07-05T10:00:00+02:00", "2025-12-30 00:00:00", "x"), (102, "s", "2025-07-05T10:00:00Z", "2025-12-30 00:00:00", "x")]
+    df = spark.createDataFrame(rows, "ingest_seq bigint, source_id string, published_at string, fetched_at string, zone string").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    clocks = spark.createDataFrame([("s", "Europe/Berlin", "dmy"), ("u", "UTC", "dmy"), ("v", "Africa/Lagos", "dmy"), ("w", "America/New_York", "mdy")], "source_id string, zone_name string, date_order string")
+    sure = {r["ingest_seq"]: r["published_us"] for r in timestamps.to_instants(df, clocks).collect()}
+    guess = {r["ingest_seq"]: r["published_us"] for r in timestamps.to_instants(df, clocks, use_clocks=False).collect()}
+    assert sure == guess and len(sure) == 15
