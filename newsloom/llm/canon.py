@@ -13,9 +13,13 @@ from pyspark.sql import types as T
 
 from newsloom.runtime import pin_table
 
-# Letters of Greek and Cyrillic that are drawn like a Latin letter.
-CYRILLIC_LIKE = dict(zip("АВЕЅІЈКМНОРСТУХҮԌԚԜаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTYXYGQWaesijopcyxhdqwl"))
-GREEK_LIKE = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρ", "ABEZHIKMNOPTYXovp"))
+# Letters of other scripts that are drawn like a Latin letter.
+CYRILLIC_LIKE = dict(zip("АВЕЅІЈКМНОРСТУХҮԌԚԜӀаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTYXYGQWIaesijopcyxhdqwl"))
+GREEK_LIKE = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονρϲ", "ABEZHIKMNOPTYXCjovpc"))
+ARMENIAN_LIKE = dict(zip("ՍՏՕհոսցօ", "USOhnugo"))
+COPTIC_LIKE = dict(zip("ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲬⲟⲣⲥⲭ", "BHIKMNOPCTXopcx"))
+CHEROKEE_LIKE = dict(zip("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEGHJKLMPRSTVWZ"))
+LATIN_LIKE = dict(zip("ɡɑ", "ga"))
 
 # Compatibility characters drawn like the letters they stand for (ligatures, digraphs,
 # roman numerals, ideograph radicals); other compatibility characters such as the ellipsis look different.
@@ -89,11 +93,12 @@ def _splice(text: str) -> str:
     return "".join(out)
 
 
-_LIKE = {**CYRILLIC_LIKE, **GREEK_LIKE}
-_TO_CYRILLIC = {v: k for k, v in CYRILLIC_LIKE.items() if k not in "ҮԌԁԛԝӏһ"}
-_TO_GREEK = {v: k for k, v in GREEK_LIKE.items()}
+_SCRIPTS = {"CYRILLIC": CYRILLIC_LIKE, "GREEK": GREEK_LIKE, "ARMENIAN": ARMENIAN_LIKE, "COPTIC": COPTIC_LIKE, "CHEROKEE": CHEROKEE_LIKE}
+_LIKE = {k: v for like in (*_SCRIPTS.values(), LATIN_LIKE) for k, v in like.items()}
+# of two letters of one script that are drawn alike the first is used
+_BACK = {name: {v: k for k, v in reversed(like.items()) if k not in "ҮԌԁԛԝӏӀһ"} for name, like in _SCRIPTS.items()}
 _LATIN_SHARED = frozenset(_LIKE.values())
-_FOREIGN = re.compile("[Ͱ-ԯ]")
+_FOREIGN = re.compile("[ɑɡͰ-֏Ꭰ-Ᏽⲁ-⳿Ⲁ]")
 _WORD = re.compile(r"[^\W\d_]+")
 _DECOMPOSED = {c: (ud.normalize("NFD", c)[0], ud.normalize("NFD", c)[1:]) for c in map(chr, [*range(0xC0, 0x250), *range(0x370, 0x530)])}
 
@@ -104,7 +109,7 @@ def _script(base: str) -> str:
     if base in _LIKE or base in _LATIN_SHARED:
         return ""
     name = ud.name(base, "")
-    return next((s for s in ("LATIN", "CYRILLIC", "GREEK") if name.startswith(s)), "OTHER")
+    return next((s for s in ("LATIN", *_SCRIPTS) if name.startswith(s)), "OTHER")
 
 
 def _bases(text: str) -> list[str]:
@@ -112,13 +117,13 @@ def _bases(text: str) -> list[str]:
 
 
 def _leading(bases: list[str]) -> str:
-    n = {"LATIN": 0, "CYRILLIC": 0, "GREEK": 0}
+    n = dict.fromkeys(("LATIN", *_SCRIPTS), 0)
     for b in bases:
         s = _script(b)
         if s in n:
             n[s] += 1
     best = max(n.values())
-    return "" if best == 0 else next(s for s in ("LATIN", "CYRILLIC", "GREEK") if n[s] == best)
+    return "" if best == 0 else next(s for s in n if n[s] == best)
 
 
 def _one_script(text: str) -> str:
@@ -141,7 +146,7 @@ def _one_script(text: str) -> str:
             if whole is None:
                 whole = _leading([b for x in _WORD.findall(text) for b in _bases(x)]) or "LATIN"
             script = whole
-        back = {"CYRILLIC": _TO_CYRILLIC, "GREEK": _TO_GREEK}.get(script, {})
+        back = _BACK.get(script, {})
         out = []
         for c, b in zip(w, bases):
             latin = _LIKE.get(b, b)

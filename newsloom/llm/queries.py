@@ -93,8 +93,9 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p4_found, p4_rates, p4_reasons, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
-_FROM = "ёѐїӧӓ" + _WIDE + "".join(canon.CYRILLIC_LIKE) + "".join(canon.GREEK_LIKE)
-_TO = "ëèïöä" + "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "".join(canon.CYRILLIC_LIKE.values()) + "".join(canon.GREEK_LIKE.values())
+# the SQL's own letters, by the order of the Latin ones they are drawn like
+_FROM = "ёѐїӧӓ" + _WIDE + "АВСЕНІЈКМОРЅТХУасԁеһіјорԛѕԝху" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνορ"
+_TO = "ëèïöä" + "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "ABCEHIJKMOPSTXYacdehijopqswxy" + "ABEZHIKMNOPTYXvop"
 _TO = _TO.replace("'", "''")  # inside a literal
 
 ORACLE: dict[str, str] = {

@@ -88,3 +88,10 @@ def test_best_ranked_skips_unranked(spark):
     rows = [(1, "s", "top", 1, t), (2, "s", "top", 0, t), (3, "s", "top", None, t), (4, "s", "", 1, t), (5, "s", None, 1, t), (6, "s", "top", -1, t), (7, "s", "top", 1, t), (8, "s", "top", 1, None)]
     df = spark.createDataFrame(rows, "ingest_seq bigint, source_id string, rank_section string, rank_position int, fetched_at timestamp_ntz")
     assert [r["ingest_seq"] for r in topn.best_ranked(df, 2).orderBy("ingest_seq").collect()] == [1, 7]
+
+
+def test_letters_of_further_scripts():
+    for one, other in (("hоusе", "house"), ("ⲟpen", "open"), ("ՕՍR", "OUR"), ("ᎠᎪᎢᎬ X", "DATE X"), ("ɡrid", "grid"), ("Ӏsland", "Island")):
+        assert canon.canonical_text(one) == canon.canonical_text(other) == other, one
+    for own in ("Հայաստան", "Москва", "Ελλάδα"):
+        assert canon.canonical_text(own) == own
