@@ -47,11 +47,10 @@ def _url() -> F.Column:
 # --- timestamps -------------------------------------------------------------------------------
 
 
+# the SQL's own month names: by their beginnings, of each language in turn
 _MONTH_SQL = "b0"
-for _line in timestamps.MONTHS.strip().splitlines():
-    _n, _first, *_rest = _line.split()
-    for _name in sorted({_first, *_rest}, key=len, reverse=True):
-        _MONTH_SQL = f"regexp_replace({_MONTH_SQL}, '(^|\\s){_name}(\\s|$)', '\\1m{int(_n):02d}\\2', 'i')"
+for _n, _begin in enumerate("jan|jän|ene|янв feb|fév|fev|фев mar|mär|мар apr|avr|abr|апр may|mai|мая|май jun|juin|июн jul|juil|июл aug|août|aout|ago|авг sep|set|сен oct|okt|окт nov|ноя dec|dez|déc|dic|дек".split(), 1):
+    _MONTH_SQL = f"regexp_replace({_MONTH_SQL}, '(^|\\s)(?:{_begin})[\\p{{L}}]*\\.?(\\s|$)', '\\1m{_n:02d}\\2', 'i')"
 _OFFSETS = {"PST": -8, "PDT": -7, "EST": -5, "EDT": -4, "GMT": 0, "UTC": 0, "BST": 1, "CET": 1, "CEST": 2, "MSK": 3, "IST": 5.5, "CST": 8, "JST": 9, "AEST": 10, "AEDT": 11}
 
 
