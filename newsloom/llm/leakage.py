@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from newsloom.llm.spans import _BASE, _INVERSE, _mix
+from newsloom.runtime import pin_table
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE_END = re.compile(r"[.!?:;\"“”»。！？]\s*$")
@@ -20,67 +20,44 @@ NUMBER, NAME, UNIT = 1, 2, 3
 _FIRST_WORD = 8
 
 
-@dataclass
-class Template:
-    """The test items of one block as typed word codes, with the hash of each of their windows."""
-
-    window: int
-    code: dict[str, int] = field(default_factory=dict)  # of every word of the items, by the word alone
-    number_of: dict[str, int] = field(default_factory=dict)
-    items: list[tuple[int, list[str], np.ndarray]] = field(default_factory=list)
-    hashes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    where: np.ndarray = field(default_factory=lambda: np.empty((0, 2), np.int64))  # item index, start; sorted by hash
-    near: np.ndarray = field(default_factory=lambda: np.zeros(1 << 16, bool))
-
-
 def _is_number(w: str) -> bool:
     return w[0].isdigit() and any(c.isdigit() for c in w)
 
 
-def build_template(items: list[tuple[int, str]], window: int) -> Template:
-    """Typed placeholders for the items' numbers, names and units.
+def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, capital, lower, inside, after_number) of every word of the items, once for each way it is used."""
+    for batch in batches:
+        rows = set()
+        for text in batch.column(0).to_pylist():
+            number = False
+            for m in _WORD.finditer(text):
+                w = m.group()
+                low = w.lower()
+                capital = w[0].isupper()
+                inside = capital and m.start() > 0 and not _SENTENCE_END.search(text, max(0, m.start() - 4), m.start())
+                rows.add((low, capital, not capital, bool(inside), not capital and number and not _is_number(low) and low.isalpha() and low.isascii()))
+                number = _is_number(low)
+        cols = list(zip(*rows)) if rows else [()] * 5
+        types = [pa.string(), *[pa.bool_()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["word", "capital", "lower", "inside", "after_number"])
+
+
+def lexicon(items: DataFrame) -> dict[str, int]:
+    """The code of every word of items(text): a type for numbers, names and units, else a hash of the word.
 
     A name is a word the items write with a capital wherever it stands, at least once inside a sentence;
-    a unit is a lower-case word after a number. The type depends on the lower-cased word alone, so equal
-    words have equal codes in a test item and in a document, whatever their case there.
+    a unit is a lower-case word after a number. The type depends on the lower-cased word and on all items
+    together, so equal words have equal codes in a test item and in a document, whatever their case there.
+    The lexicon holds the words of the stated items once, however large the corpus.
     """
-    t = Template(window)
-    capital, lower, inside, after_number = set(), set(), set(), set()
-    split = []
-    for item, text in items:
-        words = []
-        number = False
-        for m in _WORD.finditer(text):
-            w = m.group()
-            low = w.lower()
-            words.append(low)
-            if w[0].isupper():
-                capital.add(low)
-                if m.start() and not _SENTENCE_END.search(text, max(0, m.start() - 4), m.start()):
-                    inside.add(low)
-            else:
-                lower.add(low)
-                if number and not _is_number(low) and low.isalpha() and low.isascii():
-                    after_number.add(low)
-            number = _is_number(low)
-        split.append((item, words))
-    names = (capital & inside) - lower
-    for _, words in split:
-        for w in words:
-            if w not in t.code:
-                t.code[w] = NUMBER if _is_number(w) else NAME if w in names else UNIT if w in after_number else _FIRST_WORD + len(t.code)
-    rows = []
-    for i, (item, words) in enumerate(split):
-        codes = np.array([t.code[w] for w in words], np.uint64)
-        t.items.append((item, words, codes))
-        h = _window_hashes(codes, window)
-        rows.append(np.stack([h, np.full(len(h), i, np.uint64), np.arange(len(h), dtype=np.uint64)]))
-    if rows:
-        all_ = np.concatenate(rows, axis=1)
-        all_ = all_[:, np.argsort(all_[0], kind="stable")]
-        t.hashes, t.where = all_[0], all_[1:].T.astype(np.int64)
-        t.near[(t.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
-    return t
+    uses = items.select("text").mapInArrow(_uses, "word string, capital boolean, lower boolean, inside boolean, after_number boolean")
+    words = uses.groupBy("word").agg(*[F.max(c).alias(c) for c in ("capital", "lower", "inside", "after_number")])
+    kind = F.when(F.col("inside") & ~F.col("lower"), NAME).when(F.col("after_number"), UNIT).otherwise(0)
+    return {r["word"]: NUMBER if _is_number(r["word"]) else r["kind"] or _word_code(r["word"]) for r in words.select("word", kind.alias("kind")).toLocalIterator()}
+
+
+def _word_code(w: str) -> int:
+    return xxh3_64_intdigest(w.encode("utf-8", "replace")) | _FIRST_WORD
 
 
 def _window_hashes(codes: np.ndarray, window: int) -> np.ndarray:
@@ -96,9 +73,8 @@ def _window_hashes(codes: np.ndarray, window: int) -> np.ndarray:
     return _mix((prefix[window:] - prefix[: n - window + 1]) * back[: n - window + 1])
 
 
-def _codes(words: list[str], t: Template) -> list[int]:
-    """Codes of a document's words: known words as in the items, others a number or a name by their shape, else 0."""
-    code = t.code
+def _codes(words: list[str], code: dict[str, int]) -> list[int]:
+    """Codes of a text's words: known words as in the items, others a number or a name by their shape, else 0."""
     out = [code.get(w, -1) for w in [w.lower() for w in words]]
     if -1 in out:
         for i, c in enumerate(out):
@@ -108,29 +84,14 @@ def _codes(words: list[str], t: Template) -> list[int]:
     return out
 
 
-def _slots(t: Template, item: int, at: int, words: list[str]) -> tuple[int, int, bool]:
-    """(equal words, literal words, slots consistent) of one window against the same window of an item."""
-    _, own, codes = t.items[item]
-    equal = literal = 0
-    forth: dict = {}
-    back: dict = {}
-    consistent = True
-    for j, w in enumerate(words):
-        o = own[at + j]
-        equal += o == w
-        kind = int(codes[at + j])
-        if kind >= _FIRST_WORD:
-            literal += 1
-        elif forth.setdefault((kind, o), w) != w or back.setdefault((kind, w), o) != o:
-            consistent = False
-    return equal, literal, consistent
-
-
-def _search(t: Template, min_literal: int):
+def _windows(code, window: int, near=None):
+    """(id, at, h, words) of every window of (id, text) without unknown words; with a filter, of those that it may hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = t.window
+        known = code.value
+        bits = None if near is None else near.value
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             at = 0
             while at < len(texts):
                 to, size = at, 0
@@ -140,37 +101,68 @@ def _search(t: Template, min_literal: int):
                 words = [_WORD.findall(x) for x in texts[at:to]]
                 flat: list[int] = []
                 for w in words:
-                    flat += _codes(w, t)
-                    flat.append(0)  # no window reaches into the next document
+                    flat += _codes(w, known)
+                    flat.append(0)  # no window reaches into the next text
                 codes = np.array(flat, np.uint64)
-                h = _window_hashes(codes, n)
+                h = _window_hashes(codes, window)
                 broken = np.concatenate([[0], np.cumsum(codes == 0)])
-                ok = t.near[(h & np.uint64(0xFFFF)).astype(np.int64)] & (broken[n:] == broken[: len(h)])
+                ok = broken[window:] == broken[: len(h)]
+                if bits is not None:
+                    ok &= (bits[((h >> np.uint64(6)) % np.uint64(len(bits))).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
                 spot = np.flatnonzero(ok)
-                lo, hi = np.searchsorted(t.hashes, h[spot], "left"), np.searchsorted(t.hashes, h[spot], "right")
-                hit = hi > lo
                 begin = np.cumsum([0, *(len(w) + 1 for w in words)])
-                who = np.searchsorted(begin, spot[hit], "right") - 1
-                found: dict[tuple[int, int], list[int]] = defaultdict(lambda: [0, 0])
-                for s, d, a, b in zip(spot[hit].tolist(), who.tolist(), lo[hit].tolist(), hi[hit].tolist()):
-                    own = [w.lower() for w in words[d][s - begin[d] : s - begin[d] + n]]
-                    for item, start in t.where[a:b].tolist():
-                        equal, literal, consistent = _slots(t, item, start, own)
-                        if equal == n:
-                            found[(docs[at + d], t.items[item][0])][0] += 1
-                        elif consistent and literal >= min_literal:
-                            found[(docs[at + d], t.items[item][0])][1] += 1
-                at = to
-                keys, counts = list(found), list(found.values())
+                who = np.searchsorted(begin, spot, "right") - 1
+                start = spot - begin[who]
+                own = [[w.lower() for w in words[d][i : i + window]] for d, i in zip(who.tolist(), start.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([c[0] for c in counts], pa.int32()), pa.array([c[1] for c in counts], pa.int32())],
-                    names=["doc", "item", "exact", "changed"],
+                    [pa.array(ids[at:to][who], pa.int64()), pa.array(start, pa.int32()), pa.array(h[spot].view(np.int64)), pa.array(own, pa.list_(pa.string()))], names=["id", "at", "h", "words"]
                 )
+                at = to
+
+    return run
+
+
+_WINDOW = "id bigint, at int, h bigint, words array<string>"
+
+
+def _filter(windows: DataFrame, longs: int) -> np.ndarray:
+    """A bit for every window hash, in `longs` words of 64: at most so many rows come to the driver, whatever the items."""
+    place = F.pmod(F.shiftrightunsigned("h", 6), F.lit(longs))
+    rows = windows.groupBy(place.alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))
+    out = np.zeros(longs, np.uint64)
+    for r in rows.toLocalIterator():
+        out[r["place"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
+    return out
+
+
+def _slots(code, window: int):
+    """Compares the words of joined windows: (doc, item, at, start, exact, literal, consistent)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = code.value
+        for batch in batches:
+            doc, item, at, start, words, other = (batch.column(i) for i in range(6))
+            exact, literal, consistent = [], [], []
+            for mine, own in zip(words.to_pylist(), other.to_pylist()):
+                forth: dict = {}
+                back: dict = {}
+                fixed, ok = 0, True
+                for w, o in zip(mine, own):
+                    kind = known[o]
+                    if kind >= _FIRST_WORD:
+                        fixed += 1
+                        ok &= w == o  # else the hashes have collided
+                    elif forth.setdefault((kind, o), w) != w or back.setdefault((kind, w), o) != o:
+                        ok = False
+                exact.append(mine == own)
+                literal.append(fixed)
+                consistent.append(ok)
+            yield pa.RecordBatch.from_arrays([doc, item, at, start, pa.array(exact, pa.bool_()), pa.array(literal, pa.int32()), pa.array(consistent, pa.bool_())], names=["doc", "item", "at", "start", "exact", "literal", "consistent"])
 
     return run
 
 
-def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text_col: str = "text", window: int = 12, min_literal: int = 5, block_items: int = 20_000) -> DataFrame:
+def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text_col: str = "text", window: int = 12, min_literal: int = 5, filter_longs: int = 1 << 18) -> DataFrame:
     """(doc, item, exact, changed): how many windows of `window` words a document has in common with an item.
 
     Method: numbers, names and units become typed placeholders, windows of the templates are joined by
@@ -178,22 +170,24 @@ def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str,
     `changed` ones have at least `min_literal` words outside slots and fill the slots one-to-one with
     other values, a re-parameterised item. Equal words have equal codes, so no exact window is missed.
 
-    The items are the stated query set: they go to the executors in blocks of at most `block_items`
-    items, each of which every document is read against, so nothing grows with the corpus. Null and
-    short texts match nothing; no items give no rows; a repeated document row counts once; other columns
-    are ignored.
+    The lexicon of the stated items (each of their words once) and a filter of `filter_longs` * 64 bits for
+    their windows go to the executors; windows of documents that pass the filter are joined with the table
+    of the items' windows, so the items may be any number and the corpus is read once. Null and short
+    texts match nothing; no items give no rows; a repeated document row counts once; other columns are
+    ignored.
     """
-    schema = "doc bigint, item bigint, exact int, changed int"
-    read = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text_col).alias("text")).filter(F.length("text") >= 2 * window - 1)
-    stated = items.select(F.col(item_id).cast("bigint").alias("item"), F.col(text_col).alias("text")).filter("item is not null and text is not null").distinct()
-    blocks = max(1, -(-stated.count() // block_items))
-    out = None
-    for b in range(blocks):
-        part = stated if blocks == 1 else stated.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        rows = [(r["item"], r["text"]) for r in part.collect()]
-        hits = read.mapInArrow(_search(build_template(rows, window), min_literal), schema)
-        out = hits if out is None else out.unionByName(hits)
-    return out.groupBy("doc", "item").agg(F.max("exact").alias("exact"), F.max("changed").alias("changed"))
+    sc = docs.sparkSession.sparkContext
+    read = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter(F.length("text") >= 2 * window - 1)
+    stated = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id is not null and text is not null").distinct()
+    code = sc.broadcast(lexicon(stated))
+    templates = pin_table(stated.mapInArrow(_windows(code, window), _WINDOW))
+    near = sc.broadcast(_filter(templates, filter_longs))
+    hits = read.mapInArrow(_windows(code, window, near), _WINDOW)
+    met = hits.join(templates.select("h", F.col("id").alias("item"), F.col("at").alias("start"), F.col("words").alias("own")), "h").select(F.col("id").alias("doc"), "item", "at", "start", "words", "own")
+    told = met.mapInArrow(_slots(code, window), "doc bigint, item bigint, at int, start int, exact boolean, literal int, consistent boolean")
+    changed = ~F.col("exact") & F.col("consistent") & (F.col("literal") >= min_literal)
+    told = told.select("doc", "item", "at", "start", "exact", changed.alias("changed")).filter("exact or changed").distinct()
+    return told.groupBy("doc", "item").agg(F.count_if("exact").cast("int").alias("exact"), F.count_if("changed").cast("int").alias("changed"))
 
 
 def leaked_items(found: DataFrame) -> DataFrame:

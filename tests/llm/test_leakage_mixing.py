@@ -34,12 +34,12 @@ def _setup():
     return docs, items
 
 
-@pytest.mark.parametrize("block", [20_000, 7])
-def test_exact_leaks_match_brute_force(spark, block):
+@pytest.mark.parametrize("longs", [1 << 18, 1])
+def test_exact_leaks_match_brute_force(spark, longs):
     docs, items = _setup()
     d = spark.createDataFrame([(i, t, "c") for i, t in docs], "doc_id bigint, text string, item string")
     b = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id bigint, text string, exact int")
-    found = leakage.leaked_windows(d.union(d), b, "doc_id", "item_id", block_items=block)
+    found = leakage.leaked_windows(d.union(d), b, "doc_id", "item_id", filter_longs=longs)
     got = {(r["doc"], r["item"]) for r in found.filter("exact > 0").collect()}
     assert got == {(i, j) for i, t in docs for j, u in items if _windows(t, 12) & _windows(u, 12)}
     assert leakage.leaked_windows(d, b.limit(0), "doc_id", "item_id").count() == 0
