@@ -61,29 +61,28 @@ def similar_nodes(nodes: DataFrame, least: float, hours: float) -> DataFrame:
     return both.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"), "similarity")
 
 
-def first_fit(items: DataFrame, edges: DataFrame, id_col: str, order: Sequence[Column], max_rounds: int = 200) -> DataFrame:
+def first_fit(items: DataFrame, edges: DataFrame, id_col: str, order: Sequence[Column]) -> DataFrame:
     """(id, bucket): each item, in `order`, joins the oldest bucket that holds an item it merges with, else opens one.
 
     Buckets never merge, so this is not the transitive closure. The bucket of an item is the least bucket
-    among its earlier neighbours, itself if it has none: a recurrence over edges that point backwards,
-    settled by rounds of joins and minima. No group is replayed in one task. A bucket is named by its
-    first item.
+    among its earlier neighbours, itself if it has none, that is the first item that edges to earlier items
+    lead to. It is found by rounds of joins and minima, each of which also takes the label of an item's
+    label, so a chain settles in rounds that grow with the logarithm of its length. No group is replayed in
+    one task. A bucket is named by its first item.
     """
     place = items.select(F.col(id_col).alias("id"), F.struct(*order, F.col(id_col)).alias("o"))
     e = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sides = e.join(place.select(F.col("id").alias("a"), F.col("o").alias("oa")), "a").join(place.select(F.col("id").alias("b"), F.col("o").alias("ob")), "b")
     back = pin(sides.filter("ob < oa").select(F.col("a").alias("later"), F.col("b").alias("earlier"), "ob").distinct())
     label = pin(back.groupBy("later").agg(F.min("ob").alias("l")))
-    for _ in range(max_rounds):
-        # an earlier neighbour without earlier ones of its own is a bucket's first item
-        met = back.join(label.select(F.col("later").alias("earlier"), "l"), "earlier", "left")
-        new = pin(met.groupBy("later").agg(F.min(F.coalesce("l", "ob")).alias("l")))
+    settled = label.isEmpty()
+    while not settled:  # labels only sink, so this ends
+        known = label.select(F.col("later").alias("via"), F.col("l").alias("beyond"))
+        step = back.join(known, F.col("earlier") == F.col("via"), "left").select("later", F.coalesce("beyond", "ob").alias("l"))
+        jump = label.join(known, F.col(f"l.{id_col}") == F.col("via")).select("later", F.col("beyond").alias("l"))
+        new = pin(step.union(jump).groupBy("later").agg(F.min("l").alias("l")))
         settled = new.join(label.withColumnRenamed("l", "was"), "later").filter("l <> was").isEmpty()
         label = new
-        if settled:
-            break
-    else:
-        raise RuntimeError(f"buckets did not settle in {max_rounds} rounds")
     first = label.select(F.col("later").alias(id_col), F.col(f"l.{id_col}").alias("first"))
     return items.select(id_col).join(first, id_col, "left").select(id_col, F.coalesce("first", id_col).alias("bucket"))
 

@@ -299,7 +299,7 @@ def title_words(spark: SparkSession, d: str) -> DataFrame:
     return x.select("ingest_seq", F.length(F.array_join("w", " ")).cast("bigint").alias("n_chars"), F.size("w").cast("bigint").alias("n_words"))
 
 
-@query()
+@query(f"""SELECT ingest_seq, coalesce(nullif(array_to_string(list_filter(w, lambda x, i: i = list_position(w, x))[1:6], '-'), ''), 'misc-event') AS slug FROM (SELECT ingest_seq, {_WORDS} AS w FROM raw_items) t""")
 def event_slugs(spark: SparkSession, d: str) -> DataFrame:
     return _items(spark, d).select("ingest_seq", text.slug(text.word_array(text.missing_as_empty(F.col("title")))).alias("slug"))
 
@@ -430,7 +430,23 @@ def _similar(spark: SparkSession, d: str) -> DataFrame:
     return events.similar_nodes(_nodes(spark, d)[0], 0.6, 36)
 
 
-@query()
+_SIMILAR = """u AS (SELECT node, g, unnest(w) AS x FROM n), c AS (SELECT DISTINCT a.node AS a, b.node AS b FROM u a JOIN u b ON a.x = b.x AND a.g = b.g AND a.node < b.node),
+          sim AS (SELECT c.a, c.b, round(len(list_intersect(p.w, q.w)) / len(list_distinct(list_concat(p.w, q.w))), 6) AS similarity FROM c JOIN n p ON c.a = p.node JOIN n q ON c.b = q.node
+          WHERE p.w <> q.w AND len(list_intersect(p.w, q.w)) >= (0.6 - 1e-9) * len(list_distinct(list_concat(p.w, q.w))) AND q.t0 - p.t1 <= 36 * 3600000000 AND p.t0 - q.t1 <= 36 * 3600000000)"""
+
+
+def first_fit_sql(nodes: str, edges: str, order: str) -> str:
+    """The first node of `order` that edges to earlier nodes lead to: CTEs that end in ff(node, bucket)."""
+    return f"""od AS (SELECT node, row_number() OVER (ORDER BY {order}) AS pl FROM {nodes}),
+          bk AS (SELECT x.node AS later, y.node AS earlier FROM (SELECT a, b FROM {edges} UNION ALL SELECT b, a FROM {edges}) e JOIN od x ON e.a = x.node JOIN od y ON e.b = y.node WHERE y.pl < x.pl),
+          rc(i, r) AS (SELECT node, node FROM od UNION SELECT rc.i, bk.earlier FROM rc JOIN bk ON bk.later = rc.r),
+          ff AS (SELECT rc.i AS node, arg_min(rc.r, od.pl) AS bucket FROM rc JOIN od ON od.node = rc.r GROUP BY 1)"""
+
+
+_MEMBERS = "zm AS (SELECT ingest_seq, first_value(ingest_seq) OVER (PARTITION BY g, w, k ORDER BY t, ingest_seq) AS node FROM z)"
+
+
+@query(f"""WITH RECURSIVE {_NODES}, {_MEMBERS}, {_SIMILAR}, {first_fit_sql('n', 'sim', 't0, node')} SELECT zm.ingest_seq, ff.bucket FROM zm JOIN ff USING (node)""")
 def first_fit_events(spark: SparkSession, d: str) -> DataFrame:
     """Buckets of similar titles in the order of their first delivery."""
     nodes, members = _nodes(spark, d)
@@ -438,7 +454,12 @@ def first_fit_events(spark: SparkSession, d: str) -> DataFrame:
     return members.join(found, "node").select(F.col("id").alias("ingest_seq"), "bucket")
 
 
-@query()
+@query(f"""WITH RECURSIVE n AS (SELECT ingest_seq, {_URL} AS u, trim(regexp_replace({_KEY}, '[^a-z0-9\\x{{4e00}}-\\x{{9fff}} ]', '', 'g')) AS k FROM raw_items),
+          hub AS (SELECT a.ingest_seq AS s, min(b.ingest_seq) AS t FROM n a JOIN n b ON a.u = b.u AND a.u <> '' GROUP BY 1 UNION ALL SELECT a.ingest_seq, min(b.ingest_seq) FROM n a JOIN n b ON a.k = b.k AND a.k <> '' GROUP BY 1),
+          e AS (SELECT s, t FROM hub UNION SELECT t, s FROM hub), c(id, g) AS (SELECT ingest_seq, ingest_seq FROM n UNION SELECT e.t, c.g FROM c JOIN e ON e.s = c.id),
+          lg AS (SELECT id AS ingest_seq, min(g) AS group_id FROM c GROUP BY 1)
+          SELECT group_id, arg_min(ingest_seq, (CASE WHEN rank_position > 0 THEN rank_position ELSE 9999 END, ingest_seq)) AS main_id, count(*) AS n_items, count(DISTINCT source_id) AS n_sources, min(fetched_at) AS first_seen, max(fetched_at) AS last_seen
+          FROM raw_items JOIN lg USING (ingest_seq) GROUP BY 1 ORDER BY n_sources DESC, n_items DESC, group_id LIMIT 100""")
 def event_ranking(spark: SparkSession, d: str) -> DataFrame:
     """The largest events: items linked by address or title, their main item, sources and span, best hundred."""
     x = _items(spark, d).select("ingest_seq", "source_id", "fetched_at", "rank_position", _url().alias("u"), text.title_key(text.missing_as_empty(F.col("title"))).alias("k"))
@@ -601,7 +622,17 @@ def title_entities(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy("entity").agg(F.count("*").alias("n"))
 
 
-@query()
+_CLASSIFIED = ORACLE["classified_items"]
+
+
+@query(f"""WITH RECURSIVE once AS (SELECT * FROM raw_items QUALIFY row_number() OVER (PARTITION BY {_KEY}, {_URL} ORDER BY ingest_seq) = 1),
+          cd AS (SELECT o.ingest_seq, o.source_id, o.title, o.fetched_at, o.rank_position, k.bucket FROM once o JOIN ({_CLASSIFIED}) k USING (ingest_seq) WHERE coalesce(o.fulltext_status, '') <> 'metadata_only' AND coalesce(o.title, '') <> ''),
+          {_NODES.replace("coalesce(section,'')", "bucket").replace('FROM raw_items', 'FROM cd')}, {_MEMBERS}, {_SIMILAR}, {first_fit_sql('n', 'sim', 't0, node')},
+          gr AS (SELECT cd.ingest_seq, coalesce(ff.bucket, cd.ingest_seq) AS group_id FROM cd LEFT JOIN zm USING (ingest_seq) LEFT JOIN ff ON ff.node = zm.node),
+          ev AS (SELECT group_id, arg_min(ingest_seq, (CASE WHEN rank_position > 0 THEN rank_position ELSE 9999 END, fetched_at, ingest_seq)) AS main_id, count(*) AS n_items, count(DISTINCT source_id) AS n_sources, min(fetched_at) AS first_seen, max(fetched_at) AS last_seen
+                FROM cd JOIN gr USING (ingest_seq) GROUP BY 1),
+          rk AS (SELECT ev.*, cd.title, cd.bucket, row_number() OVER (PARTITION BY cd.bucket ORDER BY n_sources DESC, n_items DESC, main_id) AS pl FROM ev JOIN cd ON cd.ingest_seq = ev.main_id)
+          SELECT main_id, group_id, n_items, n_sources, first_seen, last_seen, title, bucket, row_number() OVER (ORDER BY n_sources DESC, n_items DESC, main_id) AS place FROM rk WHERE pl <= 15 QUALIFY place <= 100""")
 def pipeline_ranking(spark: SparkSession, d: str) -> DataFrame:
     """The whole plan: deduplicated, sifted, classified and grouped items, the best events of each bucket."""
     drop = {"listing only": F.coalesce(F.col("fulltext_status"), F.lit("")) == "metadata_only"}
@@ -644,12 +675,15 @@ def filtered_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return x.select("ingest_seq", F.size(pages.filtered_paragraphs(F.col("p"), F.col("source_id"), {}, "cookie|all rights reserved")).cast("bigint").alias("n"))
 
 
-@query()
+@query(f"""WITH {_NODES}, {_SIMILAR} SELECT a, b, similarity = 1 OR NOT (same AND similarity < 0.8) AS merges, CASE WHEN similarity = 1 THEN 'same title' WHEN same AND similarity < 0.8 THEN 'same source needs more' ELSE 'similar' END AS reason,
+          CASE WHEN similarity = 1 THEN 1.0 WHEN same AND similarity < 0.8 THEN 0.0 ELSE similarity END::DOUBLE AS confidence
+          FROM (SELECT sim.*, coalesce(p.source_id = q.source_id, false) AS same FROM sim JOIN raw_items p ON sim.a = p.ingest_seq JOIN raw_items q ON sim.b = q.ingest_seq) s""")
 def pair_decisions(spark: SparkSession, d: str) -> DataFrame:
     """Similar titles with the first rule that decides them."""
     t = _items(spark, d).select("ingest_seq", "source_id")
     pairs = _similar(spark, d).join(t.select(F.col("ingest_seq").alias("a"), F.col("source_id").alias("sa")), "a").join(t.select(F.col("ingest_seq").alias("b"), F.col("source_id").alias("sb")), "b")
     same = F.col("sa") == F.col("sb")
+    pairs = pairs.withColumn("similarity", F.round("similarity", 6))
     rules_ = [("same title", F.col("similarity") == 1, True, 1.0), ("same source needs more", same & (F.col("similarity") < 0.8), False, 0.0), ("similar", F.lit(True), True, F.col("similarity"))]
     return rel.decided(pairs, rules_).select("a", "b", "merges", "reason", "confidence")
 
