@@ -123,3 +123,26 @@ def shares(mixed: DataFrame, goals: DataFrame, source_col: str = "source") -> Da
     all_ = goals.select("source", "target_share", "max_repeats", "goal").join(got, "source", "left").na.fill(0, ["n_documents", "n_copies", "most_repeats", "tokens"])
     total = F.sum("tokens").over(W.partitionBy())  # one row per target source
     return all_.select("source", "target_share", "max_repeats", "n_documents", "n_copies", "most_repeats", "tokens", F.round("goal").cast("long").alias("goal_tokens"), F.when(total > 0, F.col("tokens") / total).otherwise(0.0).alias("actual_share"))
+
+
+def kept_promises(docs: DataFrame, mixed: DataFrame, goals: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """(source, within_cap, within_goal, known, once) of every target source that has documents: what a mixture must keep to.
+
+    within_cap: no document is used more often than allowed. within_goal: the tokens miss the goal by no
+    more than fixed-size sampling must: the draw's own deviation, four of its standard deviations, and one
+    document for the rounding of their number. known: all its documents are documents of that source.
+    once: each stands in the mixture once.
+    """
+    have = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(source_col).alias("source")).distinct()
+    used = mixed.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), "tokens", "copies")
+    real = used.join(have.withColumn("real", F.lit(1)), ["id", "source"], "left")
+    got = real.groupBy("source").agg(
+        F.max("copies").alias("most"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.max("tokens").alias("longest"),
+        F.sqrt(F.sum(F.col("tokens").cast("double") * F.col("tokens")) / 4).alias("deviation"), F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count("real").alias("known"),
+    )
+    all_ = goals.join(have.select("source").distinct(), "source", "left_semi").join(got, "source", "left")
+    gap = F.abs(F.coalesce("tokens", F.lit(0)) - F.col("goal"))
+    return all_.select(
+        "source", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_cap"), (gap <= 4 * F.coalesce("deviation", F.lit(0.0)) + F.coalesce("longest", F.lit(0))).alias("within_goal"),
+        (F.coalesce("known", F.lit(0)) == F.coalesce("n", F.lit(0))).alias("known"), (F.coalesce("ids", F.lit(0)) == F.coalesce("n", F.lit(0))).alias("once"),
+    )

@@ -83,6 +83,12 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(*mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")))
 
 
+def p9_promises(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the mixture keeps to its caps and goals; the SQL says that every target with documents must."""
+    docs = table(spark, d, "documents")
+    return mixing.kept_promises(docs, *mixing.mixture(docs, table(spark, d, "mix_targets")))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.sharing_documents(table(spark, d, "documents"), "doc_id", "text")
 
@@ -91,7 +97,7 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_amount(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p4_found, p4_rates, p4_reasons, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p10_found, p10_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_main_text, p3_found, p4_found, p4_rates, p4_reasons, p5_found, p6_found, p6_groups, p8_found, p8_reparameterised, p8_leaked_items, p9_mixture, p9_shares, p9_promises, p10_found, p10_shared)}
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 # the SQL's own letters, by the order of the Latin ones they are drawn like
 _FROM = "ёѐїӧӓ" + _WIDE + "АВСЕНІЈКМОРЅТХУасԁеһіјорԛѕԝху" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνορ"
@@ -99,6 +105,7 @@ _TO = "ëèïöä" + "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "ABCEHIJKMOP
 _TO = _TO.replace("'", "''")  # inside a literal
 
 ORACLE: dict[str, str] = {
+    "p9_promises": "SELECT DISTINCT source, true AS within_cap, true AS within_goal, true AS known, true AS once FROM mix_targets WHERE source IN (SELECT source FROM documents) AND target_share > 0 AND max_repeats > 0",
     "p3_found": """
         SELECT source_id, rank_section, ingest_seq FROM (
           SELECT source_id, rank_section, ingest_seq, row_number() OVER (

@@ -19,18 +19,22 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 @dataclass(frozen=True)
 class Doubling:
-    """Spans of `min_chars` code points. Windows double from `first` up to `top` = first * 2^(levels - 1).
+    """Spans of `min_chars` code points. Windows double from `first` as long as they fit into such a span, up to `top`.
 
     A span of min_chars holds `slack` = min_chars - top + 1 starts at which a top window fits; the start
     with the least hash among any `slack` neighbours is an anchor, so each shared span has an anchor in
-    common whatever else the documents hold.
+    common whatever else the documents hold. Longer windows than the span would lose spans that are just
+    long enough, so doubling ends there, or earlier when no candidate is left.
     """
 
     min_chars: int = 300
     first: int = 128
-    levels: int = 2
     run_limit: int = 64
 
+    @property
+    def levels(self) -> int:
+        return max(1, (self.min_chars // self.first).bit_length())
+
     @property
     def lengths(self) -> list[int]:
         return [self.first << i for i in range(self.levels)]

@@ -127,7 +127,7 @@ def test_spans_match_brute_force(spark):
     assert got == want
     narrow = spans.Doubling(run_limit=4)  # every run of five documents or more takes the other way
     assert {(r["doc_id_a"], r["doc_id_b"]) for r in spans.sharing_documents(df, "doc_id", "text", narrow).collect()} == want
-    three = spans.Doubling(min_chars=300, first=64, levels=3)
+    three = spans.Doubling(min_chars=300, first=64)
     assert {(r["doc_id_a"], r["doc_id_b"]) for r in spans.sharing_documents(df, "doc_id", "text", three).collect()} == want
     assert spans.sharing_documents(df.limit(0), "doc_id", "text").count() == 0
     assert spans.sharing_documents(df.union(df), "doc_id", "text").count() == len(want)
