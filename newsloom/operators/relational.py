@@ -120,6 +120,35 @@ def sessions(df: DataFrame, user: str, at: str, gap_seconds: int) -> DataFrame:
     return marked.join(named, F.col(user).eqNullSafe(F.col("_u")) & (F.col("_spell") == F.col("_s"))).select(*df.columns, "session")
 
 
+def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, right_at: str, spell_seconds: int = 86_400) -> DataFrame:
+    """Each left row with the latest right row of the same `by` at or before its time, as the struct `match`; null where there is none.
+
+    Both sides are cut into spells of time. Inside a spell rows are put in order by themselves; what a spell
+    starts with is the last right row of an earlier one, found over one row per spell. So a key with a
+    third of all rows is spread over its spells. Of right rows of one time any may be taken, unless their columns order them: the greatest.
+    """
+    t = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    width = spell_seconds * 1_000_000
+    key = [F.col(c) for c in by]
+    payload = F.struct(*[c for c in right.columns if c not in by])
+    r = right.filter(F.col(right_at).isNotNull()).select(*key, t(right_at).alias("_t"), F.lit(0).alias("_side"), payload.alias("_right"), F.lit(None).cast(_struct_type(left, ())).alias("_left"))
+    x = left.select(*key, t(at).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(_struct_type(right, by)).alias("_right"), F.struct(*left.columns).alias("_left"))
+    both = r.unionByName(x).withColumn("_spell", F.floor(F.col("_t") / width))
+    last = both.groupBy(*by, "_spell").agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_right"))).alias("_last"))
+    before = W.partitionBy(*by).orderBy("_spell").rowsBetween(W.unboundedPreceding, -1)
+    carried = last.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_spell").alias("_s"), F.last("_last", ignorenulls=True).over(before)["_right"].alias("_carried"))
+    order = W.partitionBy(*by, "_spell").orderBy("_t", "_side", "_right").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = both.withColumn("_match", F.last("_right", ignorenulls=True).over(order)).filter("_side = 1")
+    same = F.col("_spell").eqNullSafe(F.col("_s"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return inside.join(carried, same, "left").select("_left.*", F.coalesce("_match", "_carried").alias("match"))
+
+
+def _struct_type(df: DataFrame, by: Sequence[str]):
+    return df.select(F.struct(*[c for c in df.columns if c not in by]).alias("s")).schema["s"].dataType
+
+
 def decided(pairs: DataFrame, rules: Sequence[tuple[str, Column, bool, Column | float]], otherwise: str = "no rule") -> DataFrame:
     """Adds merges, reason and confidence of the first rule that holds for each pair; one pass over the pairs.
 

@@ -111,8 +111,8 @@ def hours_before_run(spark: SparkSession, d: str) -> DataFrame:
           WHERE r.fetched_at >= g.generated_at - to_hours(g.lookback_hours) AND r.fetched_at <= g.generated_at GROUP BY 1""")
 def within_lookback(spark: SparkSession, d: str) -> DataFrame:
     x = _items(spark, d).select("run_id", "fetched_at").join(table(spark, d, "ingest_runs").select("run_id", "generated_at", "lookback_hours"), "run_id")
-    inside = (F.col("fetched_at") >= F.col("generated_at") - F.make_dt_interval(hours=F.col("lookback_hours"))) & (F.col("fetched_at") <= F.col("generated_at"))
-    return x.filter(inside).groupBy("run_id").agg(F.count("*").alias("n_items"))
+    recent = landing.within_lookback(x, F.col("fetched_at"), F.col("generated_at"), F.col("lookback_hours"))
+    return recent.filter("fetched_at <= generated_at").groupBy("run_id").agg(F.count("*").alias("n_items"))
 
 
 @query("""SELECT run_id, source_id, count(*) AS n_late, max(fetched_at) AS latest FROM raw_items r JOIN ingest_runs g USING (run_id)
@@ -544,6 +544,35 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     return stream.run_to_end(out, "windows").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
+@query("""SELECT s.source_id, s.run_id, s.status, max_by(g.run_id, (g.generated_at, g.run_id)) AS earlier_run FROM source_summaries s JOIN ingest_runs h ON s.run_id = h.run_id
+          LEFT JOIN (SELECT t.source_id, r.run_id, r.generated_at FROM source_summaries t JOIN ingest_runs r USING (run_id) WHERE t.status = 'ok') g ON g.source_id = s.source_id AND g.generated_at <= h.generated_at
+          WHERE s.status <> 'ok' GROUP BY ALL""")
+def last_good_run(spark: SparkSession, d: str) -> DataFrame:
+    """As-of join: for each source that failed in a run its latest run that went well, at that time or before."""
+    s = table(spark, d, "source_summaries").select("run_id", "source_id", "status").join(table(spark, d, "ingest_runs").select("run_id", "generated_at"), "run_id")
+    good = s.filter("status = 'ok'").select("source_id", F.col("generated_at").alias("good_at"), F.col("run_id").alias("good_run"))
+    met = rel.as_of(s.filter("status <> 'ok'").distinct(), good, ["source_id"], "generated_at", "good_at", 30 * 86_400)
+    return met.select("source_id", "run_id", "status", F.col("match.good_run").alias("earlier_run"))
+
+
+_OUTCOME = "nullif(regexp_extract(coalesce(fulltext_note,''), 'http_([0-9]{3})', 1), '')::INT"
+
+
+@query(f"""WITH t AS (SELECT CASE WHEN fulltext_note = 'request_failed' THEN NULL ELSE coalesce({_OUTCOME}, 200) END AS st, coalesce(fulltext_note,'') IN ('challenge_or_access_denied','body_extracted_with_challenge_markers') AS ch,
+          list_filter(list_transform(string_split(coalesce(body_text,''), chr(10)), lambda x: trim(regexp_replace(x, '[\\s\\p{{Z}}]+', ' ', 'g'))), lambda x: length(x) >= 20) AS p FROM raw_items),
+          u AS (SELECT st, ch, len(p) AS n, coalesce(list_sum(list_transform(p, lambda x: length(x))), 0) AS k FROM t),
+          v AS (SELECT CASE WHEN st IS NULL THEN 'request_failed' WHEN st IN (401, 403) THEN 'http_' || st || '_blocked' WHEN st >= 400 THEN 'http_' || st WHEN n >= 5 AND k >= 1200 THEN 'body_extracted' WHEN n >= 2 AND k >= 300 AND ch THEN 'body_extracted_with_challenge_markers'
+            WHEN n >= 2 AND k >= 300 THEN 'partial_body_extracted' WHEN ch THEN 'challenge_or_access_denied' ELSE 'body_too_short' END AS note FROM u)
+          SELECT note, CASE WHEN note = 'body_extracted' THEN 'full_text_capable' WHEN note IN ('body_extracted_with_challenge_markers', 'partial_body_extracted') THEN 'mixed' ELSE 'partial_only' END AS capability, count(*) AS n FROM v GROUP BY 1, 2""")
+def page_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Every page's outcome by the answer its note tells of and by its paragraphs."""
+    note = text.missing_as_empty(F.col("fulltext_note"))
+    status = F.when(note != "request_failed", F.coalesce(F.nullif(F.regexp_extract(note, "http_([0-9]{3})", 1), F.lit("")).cast("int"), F.lit(200)))
+    x = _items(spark, d).select(text.paragraphs(F.col("body_text"), 20).alias("p"), status.alias("s"), note.isin("challenge_or_access_denied", "body_extracted_with_challenge_markers").alias("c"))
+    x = x.select("s", "c", F.size("p").alias("n"), F.aggregate("p", F.lit(0), lambda n, v: n + F.length(v)).alias("k"))
+    return x.groupBy(pages.page_outcome(F.col("s"), F.col("n"), F.col("k"), F.col("c")).alias("o")).agg(F.count("*").alias("n")).select("o.note", "o.capability", "n")
+
+
 @query("SELECT source_id, 'ok' AS status, count(*) AS n FROM source_clock GROUP BY 1 UNION ALL SELECT 'missing', 'failed', 1")
 def landed_payloads(spark: SparkSession, d: str) -> DataFrame:
     """One landing task per source of the clock table; a source that cannot be read gives a row with its status."""

@@ -21,6 +21,7 @@ def session(app: str = "newsloom", cores: str = "*", partitions: int = 8) -> Spa
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -58,12 +59,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """The shared folder the cluster names in spark.checkpoint.dir; a local one only where that is unset and Spark runs on one machine (tests)."""
     ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return sc._jsc.sc().getCheckpointDir().get()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="newsloom-ckpt-")
         atexit.register(shutil.rmtree, named, True)

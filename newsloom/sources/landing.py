@@ -7,9 +7,11 @@ import glob
 import json
 import os
 import time
+import urllib.parse
+import urllib.request
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -35,11 +37,11 @@ class PayloadReader(DataSourceReader):
 
     def read(self, partition) -> Iterator[tuple]:
         s = partition.spec
-        places = sorted(glob.glob(s["location"])) or [s["location"]]
+        places = [s["location"]] if _is_web(s["location"]) else sorted(glob.glob(s["location"])) or [s["location"]]
         for place in places:
             pool = concurrent.futures.ThreadPoolExecutor(1)
             try:
-                payload = pool.submit(_fetch, place, float(s.get("delay", 0))).result(timeout=self.timeout)
+                payload = pool.submit(_fetch, place, s, self.timeout).result(timeout=self.timeout)
                 yield s["source_id"], s.get("protocol", ""), place, payload, "ok", None
             except concurrent.futures.TimeoutError:
                 yield s["source_id"], s.get("protocol", ""), place, None, "timeout", f"no answer in {self.timeout:g} s"
@@ -49,9 +51,27 @@ class PayloadReader(DataSourceReader):
                 pool.shutdown(wait=False)
 
 
-def _fetch(place: str, delay: float) -> str:
-    if delay:
-        time.sleep(delay)
+def _is_web(place: str) -> bool:
+    return place.startswith(("http://", "https://"))
+
+
+def _fetch(place: str, spec: dict, timeout: float) -> str:
+    """The text of a file or web address, undecodable bytes replaced.
+
+    A spec may give `headers`, and with `form` or `json` the body of a POST. `jsonp` True unwraps callback(...).
+    """
+    if spec.get("delay"):
+        time.sleep(float(spec["delay"]))
+    if _is_web(place):
+        headers = {"User-Agent": "newsloom", **spec.get("headers", {})}
+        body = None
+        if "json" in spec:
+            body, headers["Content-Type"] = json.dumps(spec["json"]).encode(), "application/json"
+        elif "form" in spec:
+            body = urllib.parse.urlencode(spec["form"]).encode()
+        with urllib.request.urlopen(urllib.request.Request(place, data=body, headers=headers), timeout=timeout) as answer:
+            found = answer.read().decode("utf-8", "replace")
+        return found[found.index("(") + 1 : found.rindex(")")] if spec.get("jsonp") and "(" in found else found
     with open(place.removeprefix("file://"), encoding="utf-8", errors="replace") as f:
         return f.read()
 
@@ -69,7 +89,7 @@ class PayloadSource(DataSource):
 
 
 def read_payloads(spark: SparkSession, specs: list[dict], timeout: float = 20) -> DataFrame:
-    """Payloads of specs {source_id, protocol, location}; location is a file or pattern in storage the executors share."""
+    """Payloads of specs {source_id, protocol, location}; location is a web address, or a file or pattern in storage the executors share."""
     spark.dataSource.register(PayloadSource)
     return spark.read.format("news_payloads").option("specs", json.dumps(specs)).option("timeout", str(timeout)).load()
 
@@ -116,5 +136,6 @@ def write_document(df: DataFrame, path: str, meta: dict, most: int = 10_000) ->
         json.dump({"meta": meta, "rows": [json.loads(r) for r in rows]}, f, ensure_ascii=False, indent=2)
 
 
-def within_lookback(items: DataFrame, instant, as_of, hours: int) -> DataFrame:
-    return items.filter(instant >= as_of - F.make_dt_interval(hours=F.lit(hours)))
+def within_lookback(items: DataFrame, instant, as_of, hours) -> DataFrame:
+    """Items no older than `hours` (a number or a column) before `as_of`; without an instant they are left out."""
+    return items.filter(instant >= as_of - F.make_dt_interval(hours=hours if isinstance(hours, Column) else F.lit(hours)))

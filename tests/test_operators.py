@@ -143,3 +143,24 @@ def test_sessions(spark):
     got = sorted((str(r["u"]), r["s"], r["session"]) for r in rel.sessions(df, "u", "at", 100).collect())
     assert got == sorted(want)
     assert rel.sessions(df.limit(0), "u", "at", 100).count() == 0
+
+
+def test_as_of_join_matches_brute_force(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    random.seed(1)
+    at = lambda h: dt.datetime(2025, 1, 1) + dt.timedelta(hours=h)
+    left = [(i, random.choice(["a", "b", None, "z"]), at(random.randrange(400)) if i else None) for i in range(60)]
+    right = [(random.choice(["a", "b", None]), at(random.randrange(400)), i) for i in range(40)] + [("a", None, 99)]
+    x = spark.createDataFrame(left, "id int, k string, t timestamp")
+    y = spark.createDataFrame(right, "k string, rt timestamp, v int")
+    got = {r["id"]: r["match"] and r["match"]["v"] for r in rel.as_of(x, y, ["k"], "t", "rt").collect()}
+    want = {}
+    for i, k, t in left:
+        fits = [(rt, v) for kk, rt, v in right if kk == k and rt is not None and t is not None and rt <= t]
+        want[i] = max(fits)[1] if fits else None
+    assert got == want
+    assert rel.as_of(x.limit(0), y, ["k"], "t", "rt").count() == 0 and rel.as_of(x, y.limit(0), ["k"], "t", "rt").filter(F.col("match").isNotNull()).count() == 0

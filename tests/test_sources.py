@@ -131,3 +131,50 @@ def test_repair_and_decisions(spark):
     cache = spark.createDataFrame([("a", "old")], "k string, v string")
     out, new = rel.with_cache(df, "k", "v", cache, lambda m: m.withColumn("v", F.upper("k")))
     assert sorted(map(str, (r["v"] for r in out.collect()))) == ["B", "B", "None", "old"] and new.count() == 1
+
+
+def test_web_addresses_are_read_like_files(spark):
+    """GET with headers, POST of a form and of JSON, JSONP, bytes that are no UTF-8, an error code and a slow answer."""
+    import http.server
+    import threading
+    import time as clock
+
+    class Page(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.path == "/slow":
+                clock.sleep(5)
+            self.send_response(404 if self.path == "/gone" else 200)
+            self.end_headers()
+            self.wfile.write({"/p": b'cb({"a": 1});', "/bad": b"a\xffb"}.get(self.path, self.headers.get("X-Key", "none").encode()))
+
+        def do_POST(self):
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(self.rfile.read(int(self.headers["Content-Length"])))
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Page)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    specs = [
+        {"source_id": "get", "location": f"{base}/x", "headers": {"X-Key": "k"}}, {"source_id": "form", "location": f"{base}/f", "form": {"q": "a b"}}, {"source_id": "json", "location": f"{base}/j", "json": {"q": 1}},
+        {"source_id": "jsonp", "location": f"{base}/p", "jsonp": True}, {"source_id": "bad", "location": f"{base}/bad"}, {"source_id": "gone", "location": f"{base}/gone"}, {"source_id": "slow", "location": f"{base}/slow"},
+    ]
+    got = {r["source_id"]: r for r in landing.read_payloads(spark, specs, timeout=2).collect()}
+    server.shutdown()
+    assert {k: got[k]["payload"] for k in ("get", "form", "json", "jsonp", "bad")} == {"get": "k", "form": "q=a+b", "json": '{"q": 1}', "jsonp": '{"a": 1}', "bad": "a�b"}
+    assert got["gone"]["status"] == "failed" and "404" in got["gone"]["error"] and got["slow"]["status"] in ("timeout", "failed")
+
+
+def test_page_outcomes(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, 0, 0, False, False), (403, 0, 0, False, False), (500, 9, 9000, False, False), (200, 5, 1200, False, False), (200, 2, 300, False, False), (200, 2, 300, True, False), (200, 1, 50, False, False), (200, 0, 0, True, None), (200, 1, 180, False, True)]
+    df = spark.createDataFrame(rows, "s int, n int, k int, c boolean, b boolean")
+    got = [tuple(r[0]) for r in df.select(pages.page_outcome(*map(F.col, "snkcb"))).collect()]
+    assert got == [
+        ("partial_only", "request_failed"), ("partial_only", "http_403_blocked"), ("partial_only", "http_500"), ("full_text_capable", "body_extracted"), ("mixed", "partial_body_extracted"),
+        ("mixed", "body_extracted_with_challenge_markers"), ("partial_only", "body_too_short"), ("partial_only", "challenge_or_access_denied"), ("mixed", "short_article_body_extracted"),
+    ]
