@@ -222,8 +222,8 @@ def _unique(out: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _full_windows(p: Doubling):
-    """For anchors whose run is wide: the hashes of every min_chars window that holds the anchor's top window."""
+def _full_windows(p: Doubling, starts: bool = False):
+    """For (doc, top windows that are repeated, text): every min_chars window that holds one of them, as (doc, h), or with its start as (doc, start, h)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,8 +233,12 @@ def _full_windows(p: Doubling):
                 at = np.flatnonzero(np.isin(top.view(np.int64), np.array(keys, np.int64)))
                 start = np.unique((at[:, None] - np.arange(p.slack)[None, :]).ravel())
                 start = start[(start >= 0) & (start + p.min_chars <= len(text))]
-                h = np.unique(r.at(start, p.min_chars)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), doc)), pa.array(h)], names=["doc", "h"])
+                h = r.at(start, p.min_chars).view(np.int64)
+                if starts:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), doc)), pa.array(start), pa.array(h)], names=["doc", "start", "h"])
+                else:
+                    h = np.unique(h)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), doc)), pa.array(h)], names=["doc", "h"])
 
     return run
 
@@ -280,6 +284,18 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, p: Doubling) -> tuple[
     return copies, own.join(copies.filter("doc <> rep").select("doc"), "doc", "left_anti")
 
 
+def _candidates(docs: DataFrame, id_col: str, text_col: str, p: Doubling) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The classes of equal texts, one text of each, and (doc, key): the anchors whose windows up to the one before the longest are repeated."""
+    copies, texts = _classes(docs, id_col, text_col, p)
+    fields = ", ".join(["doc bigint", *(f"h{i} bigint" for i in range(p.levels)), "known tinyint", "salt tinyint"])
+    live = texts.select("doc", "text").mapInArrow(_postings(p), fields)
+    for level in range(p.levels - 1):
+        met = live.repartition("h0", "salt") if level == 0 else live.repartition(f"h{level}")
+        live = met.sortWithinPartitions(f"h{level}", "doc").mapInArrow(_repeated(level), fields)
+    live = pin_table(live.select("doc", F.col(f"h{p.levels - 1}").alias("key")))
+    return copies, texts, live
+
+
 def span_pairs(docs: DataFrame, id_col: str, text_col: str, p: Doubling = Doubling()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs of different texts with a common span, the classes of equal texts and the texts themselves.
 
@@ -289,13 +305,7 @@ def span_pairs(docs: DataFrame, id_col: str, text_col: str, p: Doubling = Doubli
     rows (counted with partial sums) only after a split by every window of the full length, so a passage just short of
     min_chars in a third of all documents makes no pairs. Every pair is checked against both texts.
     """
-    copies, texts = _classes(docs, id_col, text_col, p)
-    fields = ", ".join(["doc bigint", *(f"h{i} bigint" for i in range(p.levels)), "known tinyint", "salt tinyint"])
-    live = texts.select("doc", "text").mapInArrow(_postings(p), fields)
-    for level in range(p.levels - 1):
-        met = live.repartition("h0", "salt") if level == 0 else live.repartition(f"h{level}")
-        live = met.sortWithinPartitions(f"h{level}", "doc").mapInArrow(_repeated(level), fields)
-    live = pin_table(live.select("doc", F.col(f"h{p.levels - 1}").alias("key")))
+    copies, texts, live = _candidates(docs, id_col, text_col, p)
     hot = pin(live.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > p.run_limit).select("key"))
     narrow = live.join(hot, "key", "left_anti").select("doc", "key").repartition("key").sortWithinPartitions("key", "doc")
     pairs = narrow.mapInArrow(_pair_up(1), "a bigint, b bigint").distinct()
@@ -327,15 +337,19 @@ def sharing_documents(docs: DataFrame, id_col: str, text_col: str, p: Doubling =
 def shared_amount(docs: DataFrame, id_col: str, text_col: str, p: Doubling = Doubling()) -> DataFrame:
     """(id, n_chars, shared_chars, n_spans, share) of every document: how much of it stands elsewhere too.
 
-    Overlapping spans count once. A text with an equal copy is shared whole. Null texts have 0 characters
-    and share 0.
+    No pairs are made: around the anchors that are repeated, every window of the full length is posted, and
+    those that stand in two documents or more cover what is shared. The work follows the shared text, not
+    the number of documents that share it. Overlapping spans count once. A text with an equal copy is
+    shared whole. Null texts have 0 characters and share 0.
     """
-    common, copies, _ = span_pairs(docs, id_col, text_col, p)
-    sides = common.select(F.explode(F.array(F.struct(F.col("a").alias("doc"), F.col("s").alias("s")), F.struct(F.col("b").alias("doc"), F.col("t").alias("s")))).alias("r")).select("r.doc", "r.s")
-    at = sides.select("doc", F.explode(F.sequence(F.lit(0), F.size("s") - 2, F.lit(2))).alias("i"), "s").select("doc", F.expr("s[i]").alias("b"), F.expr("s[i + 1]").alias("e")).distinct()
-    merged = at.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("b", "e"))).alias("v"))  # spans of one document
-    step = "aggregate(v, struct(0 AS n, 0 AS c, -1 AS hi), (m, x) -> struct(m.n + if(x.b > m.hi, 1, 0) AS n, m.c + greatest(0, x.e - greatest(x.b, m.hi)) AS c, greatest(m.hi, x.e) AS hi))"
-    part = merged.select("doc", F.expr(step).alias("m")).select("doc", "m.n", "m.c")
+    copies, texts, live = _candidates(docs, id_col, text_col, p)
+    again = live.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("key")
+    keys = live.join(again, "key", "left_semi").groupBy("doc").agg(F.collect_set("key").alias("keys"))  # at most the anchors of one text
+    full = keys.join(texts.select("doc", "text"), "doc").select("doc", "keys", "text").mapInArrow(_full_windows(p, True), "doc bigint, start bigint, h bigint")
+    shared = full.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(_repeated(1), "doc bigint, start bigint, h bigint")
+    at = shared.groupBy("doc").agg(F.array_sort(F.collect_list(F.col("start").cast("int"))).alias("v"))  # starts in one document
+    step = f"aggregate(v, struct(0 AS n, 0 AS c, -1 AS hi), (m, x) -> struct(m.n + if(x > m.hi, 1, 0) AS n, m.c + {p.min_chars} - greatest(0, m.hi - x) AS c, x + {p.min_chars} AS hi))"
+    part = at.select("doc", F.expr(step).alias("m")).select("doc", "m.n", "m.c")
     of = copies.select(F.col("doc"), F.lit(True).alias("copied")).distinct()
     all_ = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.length(text_col), F.lit(0)).alias("n_chars"))
     out = all_.join(part, "doc", "left").join(of, "doc", "left")
