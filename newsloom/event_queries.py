@@ -290,3 +290,90 @@ def story_events(spark: SparkSession, d: str) -> DataFrame:
     merged = stories.decisions(f, STORIES).filter("merges")
     found = events.first_fit(f.select("node", "t1"), merged, "node", [(-F.col("t1")).alias("age")])
     return members.join(found, "node").select(F.col("id").alias("ingest_seq"), "bucket")
+
+
+@query(f"""WITH {_CASCADE}, {_MEMBERS}, me AS (SELECT a, b, reason FROM de WHERE reason NOT IN {_REFUSED}), bo AS (SELECT a AS node, reason FROM me UNION ALL SELECT b, reason FROM me)
+          SELECT node, reason, count(*) AS n FROM bo GROUP BY 1, 2""")
+def story_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """By which rules each report merges with others, and how often."""
+    merged = stories.decisions(_stories(spark, d)[0], STORIES).filter("merges")
+    return merged.select(F.explode(F.array("a", "b")).alias("node"), "reason").groupBy("node", "reason").agg(F.count("*").alias("n"))
+
+
+# --- candidates and merges of a collection ----------------------------------------------------
+
+
+@query(r"""WITH t AS (SELECT ingest_seq, regexp_replace(regexp_replace(regexp_replace(coalesce(title,''), 'https?://[^\s]+', ' ', 'g'), '\s+[-–—|]\s+[^-–—|]{2,40}$', ''), '^\s*(?:[-*•]+|[0-9]{1,3}[.)、])\s*', '') AS x,
+            regexp_replace(regexp_replace(coalesce(source_url,''), '[?#].*$', ''), '/+$', '') AS u FROM raw_items)
+          SELECT ingest_seq, trim(regexp_replace(lower(x), '[^a-z0-9\x{4e00}-\x{9fff}]+', ' ', 'g')) AS plain, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/]*)', 1)) || substr(u, length(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/]*)', 1)) + 1) AS identity FROM t""")
+def plain_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Titles and addresses in the forms reports are compared by."""
+    e = text.missing_as_empty
+    return _items(spark, d).select("ingest_seq", text.plain_title(e(F.col("title"))).alias("plain"), text.page_identity(e(F.col("source_url"))).alias("identity"))
+
+
+ROUTED = rules.RulePack(
+    buckets=_BUCKETS,
+    source_boosts=[(["harbor-wire", "quillon-wire"], ["railway", "ferry"], "policy", 2)],
+    context=["insurer", "regulator", "treaty"],
+    routes=[("energy", ["reactor"], ["tunnel"]), ("finance", ["lender", "bond"], ["vaccine"])],
+    priority=[("policy", ["senate", "tribunal"], 1), ("energy", ["pipeline"], 2)],
+    default="other",
+)
+
+
+def _any_sql(words) -> str:
+    return "(" + " OR ".join(f"({_hits_sql([w])}) > 0" for w in words) + ")"
+
+
+@query(f"""WITH t AS (SELECT ingest_seq, source_id AS s, {_TEXT} AS x FROM raw_items),
+          n AS (SELECT ingest_seq, s, x, {_hits_sql(_BUCKETS['energy'])} AS e, {_hits_sql(_BUCKETS['finance'])} AS f, {_hits_sql(_BUCKETS['policy'])} + CASE WHEN s IN ('harbor-wire', 'quillon-wire') AND {_any_sql(['railway', 'ferry'])} THEN 2 ELSE 0 END AS p,
+                2 * ({_hits_sql(['reactor'])}) + {_hits_sql(['tunnel'])} AS re, {_any_sql(['reactor'])} AND {_any_sql(['insurer', 'regulator', 'treaty'])} AS he,
+                2 * ({_hits_sql(['lender', 'bond'])}) + {_hits_sql(['vaccine'])} AS rf, {_any_sql(['lender', 'bond'])} AND {_any_sql(['insurer', 'regulator', 'treaty'])} AS hf,
+                {_any_sql(['senate', 'tribunal'])} AS wp, {_any_sql(['pipeline'])} AS we FROM t)
+          SELECT ingest_seq, CASE WHEN he AND (NOT hf OR re >= rf) THEN 'energy' WHEN hf THEN 'finance' WHEN wp AND p >= 1 THEN 'policy' WHEN we AND e >= 2 THEN 'energy' WHEN greatest(e, f, p) = 0 THEN 'other' WHEN e = greatest(e, f, p) THEN 'energy' WHEN f = greatest(e, f, p) THEN 'finance' ELSE 'policy' END AS bucket,
+          CASE WHEN he OR hf THEN 'route' WHEN (wp AND p >= 1) OR (we AND e >= 2) THEN 'priority' WHEN greatest(e, f, p) > 0 THEN 'score' ELSE 'default' END AS decided_by FROM n""")
+def routed_items(spark: SparkSession, d: str) -> DataFrame:
+    """Classification with routes, priority rules and boosts of sources, and what decided."""
+    return rules.classified(_items(spark, d), "ingest_seq", ["title", "summary"], "source_id", "section", ROUTED).select("ingest_seq", "bucket", "decided_by")
+
+
+@query(f"""WITH RECURSIVE {_LINKED}, e AS (SELECT lg.group_id, ingest_seq, unnest(source_tags) AS t, generate_subscripts(source_tags, 1) AS i FROM raw_items JOIN lg USING (ingest_seq)),
+          k AS (SELECT group_id, lower(t) AS k, count(*) AS n, arg_min(t, (ingest_seq, i)) AS entity FROM e WHERE t <> '' GROUP BY 1, 2)
+          SELECT group_id, entity, n FROM k QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY n DESC, k) <= 10""".replace('), e AS (SELECT lg', '), en AS (SELECT lg').replace('FROM e WHERE', 'FROM en WHERE'))
+def event_entities(spark: SparkSession, d: str) -> DataFrame:
+    """The ten commonest tags of each group of linked items, case apart, as first written."""
+    each = _items(spark, d).select("ingest_seq", F.posexplode("source_tags").alias("i", "t")).filter("t <> ''").join(_groups(spark, d), "ingest_seq")
+    n = each.groupBy("group_id", F.lower("t").alias("k")).agg(F.count("*").alias("n"), F.min_by("t", F.struct("ingest_seq", "i")).alias("entity"))
+    return rel.capped(n, [F.col("group_id")], [F.desc("n"), F.asc("k")], 10).select("group_id", "entity", "n")
+
+
+@query()
+def kept_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """What each source keeps of its deliveries: no noise, no address kept before, no title twice, up to its limit."""
+    e = text.missing_as_empty
+    x = _items(spark, d).filter((F.length(e(F.col("title"))) >= 8) & (_url() != "")).select("ingest_seq", "source_id", "title", "published_at", "rank_position", "canonical_url", "source_url")
+    limits = table(spark, d, "source_summaries").groupBy(F.col("source_id").alias("source")).agg(F.max("requested_limit").alias("top_k"))
+    place = F.when(F.coalesce("rank_position", F.lit(0)) == 0, 9999).otherwise(F.col("rank_position"))
+    return stories.kept_candidates(x, limits, "ingest_seq", "source_id", _url(), text.title_key(e(F.col("title"))), [place.alias("p"), e(F.col("published_at")).alias("d")], 20)
+
+
+@query()
+def merge_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """The rule that decides each pair of reports with one address, one plain title or similar title words."""
+    e = text.missing_as_empty
+    x = _items(spark, d).select(
+        F.col("ingest_seq").alias("id"), F.col("source_id").alias("source"), text.page_identity(_url()).alias("url"), text.host(_url()).alias("host"), text.plain_title(e(F.col("title"))).alias("plain"),
+        text.word_array(F.concat(e(F.col("title")), F.lit(" "), e(F.col("summary"))), 3).alias("words"), rules.entities(e(F.col("title"))).alias("names"),
+        F.coalesce(F.get(rules.soft_tags(e(F.col("title")), _TAGS), F.lit(0))["tag"], F.lit("")).alias("tag"), F.col("fetched_at").cast("timestamp").alias("at"),
+    )
+    # reports of one key are linked to the first of them, which is enough for the events they make
+    keys = x.select("id", F.posexplode(F.array("url", "plain")).alias("i", "k")).filter("k <> ''")
+    star = keys.join(keys.groupBy("i", "k").agg(F.min("id").alias("first")), ["i", "k"]).filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    pairs = star.union(_similar_pairs(spark, d)).distinct()
+    side = lambda i, n: x.select(F.col("id").alias(i), F.struct(*x.columns).alias(n))
+    return stories.merges(pairs.join(side("a", "l"), "a").join(side("b", "r"), "b")).select("a", "b", "merges", "reason", "confidence")
+
+
+def _similar_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return events.similar_nodes(_nodes(spark, d)[0], 0.5, 48).select("a", "b")

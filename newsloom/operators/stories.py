@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import text
 from newsloom.operators import relational as rel
 from newsloom.operators.scoring import thousandths
+from newsloom.runtime import pin
 
 
 @dataclass(frozen=True)
@@ -156,3 +158,99 @@ def decisions(f: DataFrame, r: StoryRules) -> DataFrame:
         ("same_source_family_similarity", x("source_group").eqNullSafe(y("source_group")) & (sim >= r.family_similarity), True, flat),
     ]
     return rel.decided(p, cascade, "insufficient_overlap").select("a", "b", "merges", "reason", "confidence")
+
+
+@dataclass(frozen=True)
+class MergeLimits:
+    """When two reports of a collection are one event by address, title, names and words."""
+
+    # Hours, similarities, counts, then confidences.
+    hours: float = 48
+    same_source_address: float = 0.8
+    same_source_title: float = 0.9
+    title: float = 0.88
+    same_host_title: float = 0.78
+    names: int = 2
+    names_overlap: float = 0.5
+    overlap: float = 0.72
+    overlap_title: float = 0.55
+
+
+def merges(pairs: DataFrame, m: MergeLimits = MergeLimits()) -> DataFrame:
+    """Adds merges, reason and confidence to pairs with the structs `l` and `r` of two reports.
+
+    A report has source, url, host, plain (its title for comparison), words, names, tag and at (a timestamp).
+    The rules in their order: one address (of one source only with like titles), one plain title, one
+    source with nearly equal titles, then, within `hours`, like titles, rather like ones on one host, shared
+    names with shared words and one tag, or many shared words. A missing time is no time within reach.
+    """
+    x, y = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
+    gap = F.coalesce(F.abs(F.unix_micros(x("at")) - F.unix_micros(y("at"))) / 3_600_000_000, F.lit(999.0))
+    p = pairs.withColumn("_f", F.explode(F.array(F.struct(
+        text.sequence_ratio(x("plain"), y("plain")).alias("sim"), gap.alias("gap"), text.overlap(x("words"), y("words")).alias("shared"),
+        F.size(F.array_intersect(F.transform(x("names"), F.lower), F.transform(y("names"), F.lower))).alias("names"),
+        ((x("tag") != "") & (x("tag") == y("tag"))).alias("tag"), (x("source") == y("source")).alias("source"), ((x("url") != "") & (x("url") == y("url"))).alias("url"), ((x("host") != "") & (x("host") == y("host"))).alias("host"),
+    ))))
+    f = lambda c: F.coalesce(F.col(f"_f.{c}"), F.lit(False)) if c in ("tag", "source", "url", "host") else F.col(f"_f.{c}")
+    cascade = [
+        ("unlike titles at one address", f("url") & f("source") & (f("sim") < m.same_source_address), False, 0.0),
+        ("same address", f("url"), True, 1.0),
+        ("same title", (x("plain") != "") & (x("plain") == y("plain")), True, 0.98),
+        ("same source, nearly the same title", f("source") & (f("sim") >= m.same_source_title), True, thousandths(f("sim"))),
+        ("same source", f("source"), False, 0.0),
+        ("too far apart", f("gap") > m.hours, False, 0.0),
+        ("like titles", f("sim") >= m.title, True, thousandths(f("sim"))),
+        ("like titles on one host", f("host") & (f("sim") >= m.same_host_title), True, thousandths(f("sim"))),
+        ("names, words and section", (f("names") >= m.names) & (f("shared") >= m.names_overlap) & f("tag"), True, thousandths(F.least(F.lit(0.9), 0.58 + f("names") * 0.08 + f("shared") * 0.2))),
+        ("many words and section", (f("shared") >= m.overlap) & (f("sim") >= m.overlap_title) & f("tag"), True, thousandths(F.least(F.lit(0.86), f("shared")))),
+    ]
+    return rel.decided(p, cascade, "too little in common").drop("_f")
+
+
+def _keep(top: int):
+    """Streams (id, source, place, url, key, taken, top_k) sorted by source and order: keeps a row unless its address or title key was kept before, `top` rows of a source."""
+    def run(batches):
+        source, urls, keys = object(), set(), set()
+        n = 0
+        for batch in batches:
+            keep = []
+            for s, u, k, taken, limit in zip(*(batch.column(i).to_pylist() for i in (1, 3, 4, 5, 6))):
+                if s != source:
+                    source, urls, keys, n = s, set(), set(), 0
+                good = not taken and n < (limit if limit is not None else top) and not (u and u in urls) and not (k and k in keys)
+                if good:  # at most the source's limit of addresses and titles is held
+                    n += 1
+                    urls.add(u)
+                    keys.add(k)
+                keep.append(good)
+            out = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([out.column(i) for i in (0, 1, 2, 3)], names=["id", "source", "place", "url"])
+
+    return run
+
+
+def kept_candidates(items: DataFrame, limits: DataFrame, id_col: str, source: str, url: Column, key: Column, order: Sequence[Column], top: int) -> DataFrame:
+    """(id) of the items that are kept: sources in the order of their first item, each source's items in `order`.
+
+    An item is kept unless its address has been kept before, of any source, or its title key of the same
+    source, or its source has its limit of kept items: limits(source, top_k), else `top`. Each source is a
+    stream in its order that holds no more than what it keeps. Addresses kept by earlier sources come as a
+    table of at most the limits' rows; since sources depend on earlier ones only, rounds end when nothing
+    changes. Null and '' addresses and keys clash with nothing.
+    """
+    own = items.select(F.col(id_col).alias("id"), F.col(source).alias("source"), url.alias("url"), key.alias("key"), F.struct(*order, F.col(id_col)).alias("o"))
+    places = own.groupBy("source").agg(F.min("id").alias("place"))
+    own = own.join(places, "source").join(limits.select("source", "top_k").dropDuplicates(["source"]), "source", "left")
+    own = pin(own.select("id", "source", "place", "url", "key", "top_k", "o"))
+    kept = None
+    while True:
+        if kept is None:
+            x = own.withColumn("taken", F.lit(False))
+        else:
+            first = kept.filter("url <> ''").groupBy("url").agg(F.min("place").alias("by"))
+            x = own.join(first, "url", "left").withColumn("taken", F.coalesce(F.col("by") < F.col("place"), F.lit(False)))
+        x = x.select("id", "source", "place", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("key", F.lit("")).alias("key"), "taken", "top_k", "o")
+        now = pin(x.repartition("source").sortWithinPartitions("source", "o").drop("o").mapInArrow(_keep(top), "id bigint, source string, place bigint, url string"))
+        if kept is not None and now.select("id").exceptAll(kept.select("id")).isEmpty() and kept.select("id").exceptAll(now.select("id")).isEmpty():
+            return now.select(F.col("id").alias(id_col))
+        kept = now

@@ -91,3 +91,52 @@ def test_pairs_are_found_without_a_loss(spark):
                     best.add((a["node"], b["node"]))
     assert len(best) > 5 and best <= got
     assert stories.decisions(f.limit(0), r).count() == 0
+
+
+def test_kept_candidates_match_a_fold(spark):
+    random.seed(4)
+    rows = [(i, random.choice("abcd"), random.choice(["u1", "u2", "u3", "u4", f"v{i}", "", None]), random.choice(["k1", "k2", f"t{i}", "", None]), random.randrange(5)) for i in range(120)]
+    limits = {"a": 3, "b": 8, "c": 5}
+    want, urls = set(), set()
+    for s in sorted({r[1] for r in rows}, key=lambda s: min(r[0] for r in rows if r[1] == s)):
+        n, keys = 0, set()
+        for i, _, u, k, _ in sorted((r for r in rows if r[1] == s), key=lambda r: (r[4], r[0])):
+            if (u and u in urls) or (k and k in keys) or n >= limits.get(s, 6):
+                continue
+            want.add(i)
+            urls.add(u)
+            keys.add(k)
+            n += 1
+    df = spark.createDataFrame(rows, "id long, s string, u string, k string, r int")
+    top = spark.createDataFrame(list(limits.items()), "source string, top_k int")
+    got = stories.kept_candidates(df, top, "id", "s", F.col("u"), F.col("k"), [F.col("r").alias("r")], 6)
+    assert {r["id"] for r in got.collect()} == want
+    assert stories.kept_candidates(df.limit(0), top, "id", "s", F.col("u"), F.col("k"), [F.col("r").alias("r")], 6).count() == 0
+
+
+def test_merge_rules_in_their_order(spark):
+    import datetime as dt
+
+    t0, t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 9)
+
+    def report(source="s", url="", host="", plain="harbor opens", words=("harbor",), names=(), tag="", at=t0):
+        return (source, url, host, plain, list(words), list(names), tag, at)
+
+    cases = [
+        (report(url="u", plain="harbor opens"), report(url="u", plain="quite another text"), "unlike titles at one address"),
+        (report(url="u"), report("t", url="u", plain="quite another"), "same address"),
+        (report(plain="x y"), report("t", plain="x y", at=t2), "same title"),
+        (report(plain=""), report("t", plain="", at=t1), "like titles"),  # two empty titles are alike
+        (report(plain=""), report("t", plain="", at=None), "too far apart"),
+        (report(plain="harbor opens now"), report(plain="harbor opens nows"), "same source, nearly the same title"),
+        (report(plain="harbor opens now"), report(plain="bridge shut"), "same source"),
+        (report(plain="harbor opens now"), report("t", plain="harbor opens nows", at=t2), "too far apart"),
+        (report(plain="abcdefghij", host="h"), report("t", plain="abcdefghxy", host="h"), "like titles on one host"),
+        (report(plain="aaaa", words="abcd", names=["Foo", "Bar"], tag="w"), report("t", plain="zzzz", words="abxy", names=["foo", "BAR"], tag="w"), "names, words and section"),
+        (report(plain="abcdef", words="abcd", tag="w"), report("t", plain="abcxyf", words="abcd", tag="w"), "many words and section"),
+        (report(plain="abcdef"), report("t", plain="zzzz"), "too little in common"),
+    ]
+    kind = "struct<source:string,url:string,host:string,plain:string,words:array<string>,names:array<string>,tag:string,at:timestamp>"
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], f"i int, l {kind}, r {kind}")
+    got = {r["i"]: r["reason"] for r in stories.merges(df).collect()}
+    assert got == {i: c[2] for i, c in enumerate(cases)}
