@@ -104,6 +104,20 @@ _FROM = "ёѐїӧӓ" + _WIDE + "АВСЕНІЈКМОРЅТХУасԁеһіјор
 _TO = "ëèïöä" + "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "ABCEHIJKMOPSTXYacdehijopqswxy" + "ABEZHIKMNOPTYXvop"
 _TO = _TO.replace("'", "''")  # inside a literal
 
+_STORY_GROUPS = f"""
+        WITH RECURSIVE c AS (SELECT ingest_seq, coalesce(title, '') || ' ' || coalesce(summary, '') AS v FROM raw_items),
+             t AS (SELECT ingest_seq, translate(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'), '{_FROM}', '{_TO}') AS x FROM c),
+             k AS (SELECT ingest_seq, trim(regexp_replace(lower(nfc_normalize(replace(replace(replace(x, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'))), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS f FROM t),
+             r AS (SELECT f, min(ingest_seq) AS d FROM k WHERE length(f) >= 80 GROUP BY 1),
+             g AS (SELECT DISTINCT d, substr(f, i, 3) AS x FROM (SELECT d, f, unnest(generate_series(1, length(f) - 2)) AS i FROM r) u),
+             n AS (SELECT d, count(*) AS n FROM g GROUP BY 1),
+             o AS (SELECT a.d AS a, b.d AS b, count(*) AS m FROM g a JOIN g b ON a.x = b.x AND a.d < b.d GROUP BY 1, 2),
+             e AS (SELECT o.a, o.b FROM o JOIN n p ON p.d = o.a JOIN n q ON q.d = o.b WHERE o.m >= 0.65 * (p.n + q.n - o.m) - 1e-9),
+             y AS (SELECT a AS s, b AS t FROM e UNION ALL SELECT b, a FROM e),
+             z(d, c) AS (SELECT d, d FROM r UNION SELECT y.t, z.c FROM z JOIN y ON y.s = z.d),
+             w AS (SELECT d, min(c) AS c FROM z GROUP BY 1),
+             i AS (SELECT k.ingest_seq, w.c FROM k JOIN r ON k.f = r.f JOIN w ON w.d = r.d)"""
+
 ORACLE: dict[str, str] = {
     "p9_promises": "SELECT DISTINCT source, true AS within_cap, true AS within_goal, true AS known, true AS once FROM mix_targets WHERE source IN (SELECT source FROM documents) AND target_share > 0 AND max_repeats > 0",
     "p3_found": """
@@ -136,18 +150,8 @@ ORACLE: dict[str, str] = {
              t AS (SELECT ingest_seq, field_name, v, translate(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'), '{_FROM}', '{_TO}') AS x FROM c),
              k AS (SELECT ingest_seq, field_name, v, trim(regexp_replace(nfc_normalize(replace(replace(replace(x, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl')), '[\\s\\p{{Z}}]+', ' ', 'g')) AS f FROM t)
         SELECT a.field_name, a.ingest_seq AS ingest_seq_a, b.ingest_seq AS ingest_seq_b FROM k a JOIN k b ON a.field_name = b.field_name AND a.f = b.f AND a.ingest_seq < b.ingest_seq AND a.v <> b.v""",
-    "p6_found": f"""
-        WITH RECURSIVE c AS (SELECT ingest_seq, coalesce(title, '') || ' ' || coalesce(summary, '') AS v FROM raw_items),
-             t AS (SELECT ingest_seq, translate(regexp_replace(v, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'), '{_FROM}', '{_TO}') AS x FROM c),
-             k AS (SELECT ingest_seq, trim(regexp_replace(lower(nfc_normalize(replace(replace(replace(x, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'))), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS f FROM t),
-             r AS (SELECT f, min(ingest_seq) AS d FROM k WHERE length(f) >= 80 GROUP BY 1),
-             g AS (SELECT DISTINCT d, substr(f, i, 3) AS x FROM (SELECT d, f, unnest(generate_series(1, length(f) - 2)) AS i FROM r) u),
-             n AS (SELECT d, count(*) AS n FROM g GROUP BY 1),
-             o AS (SELECT a.d AS a, b.d AS b, count(*) AS m FROM g a JOIN g b ON a.x = b.x AND a.d < b.d GROUP BY 1, 2),
-             e AS (SELECT o.a, o.b FROM o JOIN n p ON p.d = o.a JOIN n q ON q.d = o.b WHERE o.m >= 0.65 * (p.n + q.n - o.m) - 1e-9),
-             y AS (SELECT a AS s, b AS t FROM e UNION ALL SELECT b, a FROM e),
-             z(d, c) AS (SELECT d, d FROM r UNION SELECT y.t, z.c FROM z JOIN y ON y.s = z.d),
-             w AS (SELECT d, min(c) AS c FROM z GROUP BY 1),
-             i AS (SELECT k.ingest_seq, w.c FROM k JOIN r ON k.f = r.f JOIN w ON w.d = r.d)
+    "p6_found": f"""{_STORY_GROUPS}
         SELECT a.ingest_seq AS ingest_seq_a, b.ingest_seq AS ingest_seq_b FROM i a JOIN i b ON a.c = b.c AND a.ingest_seq < b.ingest_seq""",
+    "p6_groups": f"""{_STORY_GROUPS}
+        SELECT i.ingest_seq, i.c AS group_id, coalesce(l.n, 0)::INT AS n_links FROM i JOIN k ON k.ingest_seq = i.ingest_seq JOIN r ON r.f = k.f LEFT JOIN (SELECT s, count(*) AS n FROM y GROUP BY 1) l ON l.s = r.d""",
 }
