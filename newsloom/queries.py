@@ -87,9 +87,10 @@ def p7_zone_estimates(spark: SparkSession, d: str) -> DataFrame:
     return found.join(clocks.select(F.col("source_id").alias("source"), F.col("zone_name").alias("stated_zone")), "source", "left")
 
 
-@query("SELECT ingest_seq, strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS instant FROM raw_items WHERE regexp_full_match(published_at, '[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|1[0-9]|2[0-8])T[0-9]{2}:[0-9]{2}:[0-9]{2}Z')")
+@query("SELECT ingest_seq, try_strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS instant FROM raw_items WHERE regexp_full_match(published_at, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z')")
 def iso_instants(spark: SparkSession, d: str) -> DataFrame:
-    x = _items(spark, d).filter(F.col("published_at").rlike(r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|1[0-9]|2[0-8])T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"))
+    """Every value in the full ISO notation of UTC; null where the date is impossible."""
+    x = _items(spark, d).filter(F.col("published_at").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"))
     return x.select("ingest_seq", times.iso_instant(F.col("published_at")).cast("timestamp_ntz").alias("instant"))
 
 
