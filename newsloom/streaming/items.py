@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from newsloom.runtime import ensure_checkpoint_dir
 
@@ -34,16 +35,29 @@ def session_counts(stream: DataFrame, at: str, by: list[str], gap: str, delay: s
     return stream.withWatermark(at, delay).groupBy(w.alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n")
 
 
+class _Totals(StatefulProcessor):
+    """Rows and batches of one source, in a value state."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "n bigint, batches int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, batches = self.total.get() if self.total.exists() else (0, 0)
+        n, batches = n + sum(len(f) for f in rows), batches + 1
+        self.total.update((n, batches))
+        yield pd.DataFrame({"source": [key[0]], "n": [n], "batches": [batches]})
+
+    def close(self) -> None:
+        pass
+
+
 def source_totals(stream: DataFrame, source: str) -> DataFrame:
-    """(source, n, batches): running totals per source, kept as arbitrary state."""
+    """(source, n, batches): running totals per source, kept as arbitrary state in RocksDB, which a session that runs it must name as its state store."""
+    own = stream.select(F.col(source).alias("source"))
+    return own.groupBy("source").transformWithStateInPandas(_Totals(), "source string, n bigint, batches int", "Update", "None")
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        n, batches = state.get if state.exists else (0, 0)
-        n += sum(len(f) for f in frames)
-        state.update((n, batches + 1))
-        yield pd.DataFrame({"source": [key[0]], "n": [n], "batches": [batches + 1]})
 
-    return stream.select(F.col(source).alias("source")).groupBy("source").applyInPandasWithState(update, "source string, n bigint, batches int", "n bigint, batches int", "update", "NoTimeout")
+ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def run_to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:

@@ -24,7 +24,9 @@ def test_deduplication_and_windows(spark, tmp_path):
 
 def test_running_totals(spark, tmp_path):
     _, path = _table(spark, tmp_path)
+    spark.conf.set(*stream.ROCKSDB)
     q = stream.source_totals(stream.read_stream(spark, path, 1), "source").writeStream.outputMode("update").format("memory").queryName("totals").option("checkpointLocation", f"{ensure_checkpoint_dir(spark)}/totals-{tmp_path.name}").trigger(availableNow=True).start()
     q.awaitTermination()
+    spark.conf.unset(stream.ROCKSDB[0])
     last = spark.table("totals").groupBy("source").agg(F.max("n").alias("n")).collect()
     assert {(r["source"], r["n"]) for r in last} == {("s0", 40), ("s1", 40), ("s2", 40)}
