@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsloom.functions import text, times
+from newsloom.sources import pages
 
 _RSS_ITEM = "struct<title:string,link:string,guid:string,pubDate:string,description:string,author:string,category:array<string>>"
 RSS = f"struct<channel:struct<title:string,link:string,item:array<{_RSS_ITEM}>>>"
@@ -111,6 +113,46 @@ def json_items(payloads: DataFrame, list_path: str, fields: dict[str, str | list
     return as_items(each.select("source_id", *[c.alias(n) for n, c in got.items()], (F.col("at") + 1 if ranked else F.lit(0)).alias("rank_position"), F.lit("api_ranked" if ranked else "api_listing").alias("discovery_method")))
 
 
+_TREND = "struct<title:string,link:string,pubDate:string,`ht:approx_traffic`:string,`ht:news_item`:array<struct<`ht:news_item_title`:string,`ht:news_item_url`:string,`ht:news_item_source`:string>>>"
+TRENDS = f"struct<channel:struct<item:array<{_TREND}>>>"
+_LISTED = "array<struct<position:string,url:string,name:string,item:struct<url:string,name:string,`@id`:string>>>"
+
+
+def trend_items(payloads: DataFrame) -> DataFrame:
+    """Items of a feed of trends in the `ht:` namespace, in the feed's order; the first related news gives address, summary and byline."""
+    each = payloads.withColumn("f", F.from_xml("payload", TRENDS)).select("source_id", F.posexplode("f.channel.item").alias("at", "i"))
+    news = F.get(F.col("i.`ht:news_item`"), F.lit(0))
+    url = text.first_non_empty(F.trim(news["ht:news_item_url"]), F.trim(F.col("i.link")))
+    traffic = F.when(F.col("i.`ht:approx_traffic`") != "", F.concat(F.lit("traffic: "), F.col("i.`ht:approx_traffic`")))
+    return as_items(
+        each.select(
+            "source_id", text.clean_markup(F.col("i.title")).alias("title"), url.alias("source_url"), text.page_address(url).alias("canonical_url"), _iso(times.rfc822_instant(F.col("i.pubDate"))).alias("published_at"),
+            F.concat_ws(" | ", F.nullif(text.clean_markup(news["ht:news_item_title"]), F.lit("")), traffic).alias("summary"), news["ht:news_item_source"].alias("byline"), F.lit("trends_ranked").alias("discovery_method"), (F.col("at") + 1).alias("rank_position"),
+        )
+    )
+
+
+def encoded_bodies(payloads: DataFrame, least: int = 20) -> DataFrame:
+    """(source_id, source_url, body_text) of RSS items that carry their article in `content:encoded`: its paragraphs of `least` characters or more."""
+    item = "struct<link:string,`content:encoded`:string>"
+    each = payloads.withColumn("f", F.from_xml("payload", f"struct<channel:struct<item:array<{item}>>>")).select("source_id", F.explode("f.channel.item").alias("i"))
+    body = F.array_join(F.filter(pages.html_paragraphs(F.col("i.`content:encoded`")), lambda p: F.length(p) >= least), "\n")
+    return each.select("source_id", F.trim("i.link").alias("source_url"), body.alias("body_text")).filter("body_text <> ''")
+
+
+def json_ld_items(payloads: DataFrame) -> DataFrame:
+    """Ranked items of the lists a page declares in JSON-LD; of one address the first place counts. Pages without such a list give no rows."""
+    blocks = payloads.select("source_id", F.posexplode(F.regexp_extract_all("payload", F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))).alias("block", "j"))
+    v = blocks.withColumn("v", F.try_parse_json("j"))
+    lists = F.coalesce(F.from_json(F.to_json(F.try_variant_get("v", "$.itemListElement", "variant")), _LISTED), F.from_json(F.to_json(F.try_variant_get("v", "$.mainEntity.itemListElement", "variant")), _LISTED))
+    each = v.select("source_id", "block", F.posexplode(lists).alias("at", "e"))
+    url = text.first_non_empty(F.col("e.url"), F.col("e.item.url"), F.col("e.item.`@id`"))
+    each = each.select("source_id", "block", "at", url.alias("url"), text.first_non_empty(F.col("e.name"), F.col("e.item.name")).alias("title")).filter("url <> ''")
+    once = each.groupBy("source_id", "url").agg(F.min(F.struct("block", "at", "title")).alias("m"))
+    place = F.row_number().over(W.partitionBy("source_id").orderBy("m.block", "m.at"))  # one page's list
+    return as_items(once.select("source_id", F.col("m.title").alias("title"), F.col("url").alias("source_url"), text.page_address(F.col("url")).alias("canonical_url"), F.lit("html_ranked").alias("discovery_method"), place.alias("rank_position")))
+
+
 def embedded_json(page: Column, element_id: str) -> Column:
     """The JSON a page carries in a script element of that id, as VARIANT; null where there is none."""
     return F.try_parse_json(F.regexp_extract(page, rf'(?s)<script[^>]*\bid="{element_id}"[^>]*>(.*?)</script>', 1))

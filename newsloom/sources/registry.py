@@ -26,7 +26,7 @@ class Source:
     drop: str = ""
 
 
-PROTOCOLS = ("rss", "atom", "sitemap", "json", "links")
+PROTOCOLS = ("rss", "atom", "sitemap", "json", "json_ld", "trends", "links")
 
 
 def chosen(registry: Sequence[Source], ids: Sequence[str]) -> tuple[list[Source], list[str]]:
@@ -54,6 +54,10 @@ def parse(payloads: DataFrame, s: Source) -> DataFrame:
         items = feeds.rss_items(own, s.ranked)
     elif s.protocol == "atom":
         items = feeds.atom_items(own)
+    elif s.protocol == "json_ld":
+        items = feeds.json_ld_items(own)
+    elif s.protocol == "trends":
+        items = feeds.trend_items(own)
     elif s.protocol == "json":
         items = feeds.json_items(own, s.options["list_path"], s.options["fields"], s.ranked)
     elif s.protocol == "sitemap":

@@ -178,3 +178,20 @@ def test_page_outcomes(spark):
         ("partial_only", "request_failed"), ("partial_only", "http_403_blocked"), ("partial_only", "http_500"), ("full_text_capable", "body_extracted"), ("mixed", "partial_body_extracted"),
         ("mixed", "body_extracted_with_challenge_markers"), ("partial_only", "body_too_short"), ("partial_only", "challenge_or_access_denied"), ("mixed", "short_article_body_extracted"),
     ]
+
+
+def test_lists_in_json_ld_trends_and_encoded_bodies(spark):
+    page = """<html><script type="application/ld+json">{"@type": "ItemList", "itemListElement": [{"position": 1, "url": "https://a.x/1", "name": "One"}, {"position": 2, "item": {"url": "https://a.x/2?q=1", "name": "Two"}}, {"position": 3, "url": "https://a.x/1", "name": "Again"}, {"position": 4}]}</script>
+    <script type="application/ld+json">no json</script><script type="application/ld+json">{"mainEntity": {"itemListElement": [{"url": "https://a.x/3", "name": "Three"}]}}</script></html>"""
+    df = spark.createDataFrame([("a", page), ("b", "<html></html>"), ("c", None)], "source_id string, payload string")
+    got = feeds.json_ld_items(df).orderBy("rank_position").collect()
+    assert [(r["source_id"], r["title"], r["canonical_url"], r["rank_position"]) for r in got] == [("a", "One", "https://a.x/1", 1), ("a", "Two", "https://a.x/2", 2), ("a", "Three", "https://a.x/3", 3)]
+    trends = """<rss xmlns:ht="https://t.x"><channel><item><title>Tide &amp; wind</title><link>https://t.x/1</link><pubDate>Wed, 15 Jan 2025 06:00:00 +0000</pubDate><ht:approx_traffic>200+</ht:approx_traffic>
+    <ht:news_item><ht:news_item_title>Storm nears</ht:news_item_title><ht:news_item_url>https://n.x/a</ht:news_item_url><ht:news_item_source>N</ht:news_item_source></ht:news_item>
+    <ht:news_item><ht:news_item_title>Second</ht:news_item_title><ht:news_item_url>https://n.x/b</ht:news_item_url></ht:news_item></item><item><title>Bare</title><link>https://t.x/2</link></item></channel></rss>"""
+    got = feeds.trend_items(spark.createDataFrame([("t", trends)], "source_id string, payload string")).orderBy("rank_position").collect()
+    assert [(r["title"], r["source_url"], r["summary"], r["byline"], r["rank_position"]) for r in got] == [("Tide & wind", "https://n.x/a", "Storm nears | traffic: 200+", "N", 1), ("Bare", "https://t.x/2", "", "", 2)]
+    assert got[0]["published_at"] == "2025-01-15T06:00:00+00:00"
+    rss = """<rss xmlns:content="https://c.x"><channel><item><link>https://p.x/1</link><content:encoded><![CDATA[<p>This paragraph is long enough to stay.</p><script>no()</script><p>Too short</p><ul><li>An item of a list that is long enough</li></ul>]]></content:encoded></item><item><link>https://p.x/2</link></item></channel></rss>"""
+    got = feeds.encoded_bodies(spark.createDataFrame([("p", rss)], "source_id string, payload string")).collect()
+    assert [(r["source_url"], r["body_text"].split("\n")) for r in got] == [("https://p.x/1", ["This paragraph is long enough to stay.", "An item of a list that is long enough"])]
