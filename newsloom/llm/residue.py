@@ -302,10 +302,12 @@ def filler_vocabulary(items: DataFrame, body_col: str = "body_text", rarest: int
     """
     pages = items.select(F.col(body_col).alias("body")).filter(F.lower("body").contains("lorem ipsum"))
     lines = pages.select(F.explode(F.split("body", "\n")).alias("x")).filter(F.col("x").rlike(r"(?i)^\W*lorem ipsum"))
-    words = lines.select(F.explode(F.array_distinct(F.filter(F.split(F.lower("x"), r"[^\p{L}]+"), lambda w: F.length(w) > 2))).alias("w"), F.monotonically_increasing_id().alias("i"))
-    n = words.groupBy("w").agg(F.count("*").alias("n")).filter("n >= 2")
-    most = lines.count()
-    return frozenset(r["w"] for r in n.filter(F.col("n") * rarest >= most).collect()) if most else frozenset()
+    words = F.array_distinct(F.filter(F.split(F.lower("x"), r"[^\p{L}]+"), lambda w: F.length(w) > 2))
+    each = lines.select(F.explode(F.array_append(words, F.lit(""))).alias("w"))  # '' counts the lines themselves
+    n = each.groupBy("w").agg(F.count("*").alias("n"))
+    most = n.filter("w = ''").select(F.col("n").alias("lines"))
+    known = n.filter("n >= 2 and w <> ''").join(F.broadcast(most), F.col("n") * rarest >= F.col("lines"))  # `most` is one row
+    return frozenset(r["w"] for r in known.select("w").collect())
 
 
 def parted_suspects(items: DataFrame, id_col: str = "ingest_seq", host_col: str = "source_id", body_col: str = "body_text") -> tuple[DataFrame, frozenset]:
