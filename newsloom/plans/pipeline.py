@@ -11,7 +11,6 @@ from newsloom.functions import text
 from newsloom.operators import events
 from newsloom.operators import relational as rel
 from newsloom.plans import rules
-from newsloom.runtime import pin
 
 
 @dataclass(frozen=True)
@@ -52,7 +51,6 @@ def item_events(items: DataFrame, pack: rules.RulePack, drop: dict[str, Column],
     named = rules.classified(kept, "ingest_seq", ["title", "summary", "section"], "source_id", "section", pack)
     candidates = kept.join(named, "ingest_seq").select("ingest_seq", "source_id", "title", "fetched_at", "rank_position", "bucket", "decided_by", "tags")
     nodes, members = events.title_nodes(candidates, "ingest_seq", "title", "bucket", "fetched_at", settings.hours)
-    nodes = pin(nodes)
     edges = events.similar_nodes(nodes, settings.similarity, settings.hours)
     joined = events.first_fit(nodes, edges, "node", [F.col("t0")])
     placed = members.join(joined, "node").select(F.col("id").alias("ingest_seq"), F.col("bucket").alias("group_id"))

@@ -164,3 +164,14 @@ def test_as_of_join_matches_brute_force(spark):
         want[i] = max(fits)[1] if fits else None
     assert got == want
     assert rel.as_of(x.limit(0), y, ["k"], "t", "rt").count() == 0 and rel.as_of(x, y.limit(0), ["k"], "t", "rt").filter(F.col("match").isNotNull()).count() == 0
+
+
+def test_titles_that_share_a_word_are_no_candidates(spark):
+    """Of 3,000 titles with a word in common and 4 like ones only the 2 that are near in time and group are compared by their words, though every word is posted."""
+    rows = [(i, "x", 3_600_000_000 * (i // 20), ["shared", *(f"w{i}x{j}" for j in range(2))]) for i in range(3000)]
+    rows += [(5000, "x", 0, ["p", "q", "shared", "v"]), (5001, "x", 0, ["p", "q", "shared", "u"]), (5002, None, 0, ["p", "q", "shared", "u"]), (5003, "x", 10**12, ["p", "q", "shared", "u"])]
+    nodes = spark.createDataFrame(rows, "node long, g string, t0 long, w array<string>").selectExpr("node", "xxhash64(g, w) as s", "g", "w", "t0", "t0 as t1")
+    post = events.posted_words(nodes.selectExpr("node", "xxhash64(g) as gh", "t0", "t1", "w"), "w", F.col("n"))
+    met = events.met_postings(post, 36 * 3_600_000_000, F.ceil((F.col("p.n") + F.col("q.n")) * 0.375))
+    assert [tuple(r) for r in met.collect()] == [(5000, 5001)]
+    assert [tuple(r) for r in events.similar_nodes(nodes, 0.6, 36).collect()] == [(5000, 5001, 0.6)]
