@@ -140,3 +140,46 @@ def test_merge_rules_in_their_order(spark):
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], f"i int, l {kind}, r {kind}")
     got = {r["i"]: r["reason"] for r in stories.merges(df).collect()}
     assert got == {i: c[2] for i, c in enumerate(cases)}
+
+
+def test_sweep_compares_as_all_pairs(spark):
+    """Measures of the sweep against all pairs, over cells, long reports, missing groups and sources; pairs carry no features."""
+    random.seed(11)
+    hour = 3_600_000_000
+    words = [f"w{i}" for i in range(40)]
+    f = []
+    for i in range(400):
+        t0 = random.randrange(-300, 900) * hour
+        own = random.sample(words, random.randint(0, 9))
+        f.append((i, random.choice(["x", None]), t0, t0 + random.choice([0, 0, 5, 400]) * hour, random.choice(["s", "t", None]), random.choice(["m", None]), random.choice(["k1", "k2", f"own{i}"]), own, own[:2], [w for w in own if w < "w3"], random.sample(["b", "c"], 1), i % 7 == 0))
+    names = ["node", "g", "t0", "t1", "source", "source_group", "key", "words", "names", "anchors", "actions", "roundup"]
+    df = spark.createDataFrame(f, "node long, g string, t0 long, t1 long, source string, source_group string, key string, words array<string>, names array<string>, anchors array<string>, actions array<string>, roundup boolean")
+    r = stories.StoryRules(broad=["w1", "w2"], shared=["w4", "w9"])
+    rows = [dict(zip(names, x)) for x in f]
+    last, before = {}, {}
+    for x in sorted(rows, key=lambda x: (x["t0"], x["node"])):
+        p = last.get((x["g"], x["key"]))
+        if p and x["t0"] - p["t1"] <= 36 * hour:
+            before[x["node"]] = p["node"]
+        last[x["g"], x["key"]] = x
+    want = {}
+    for x in rows:
+        for y in rows:
+            gap = max(0, y["t0"] - x["t1"], x["t0"] - y["t1"]) / hour
+            if x["node"] < y["node"] and x["g"] == y["g"] and gap <= 36:
+                both = lambda c: set(x[c]) & set(y[c])  # noqa: B023, E731
+                w, union = len(both("words")), len({*x["words"], *y["words"]})
+                sim, firm = w / union if union else 0.0, len(both("anchors") - {"w1", "w2"})
+                follows = before.get(x["node"]) == y["node"] or before.get(y["node"]) == x["node"]
+                if w and sim >= 0.2 - 1e-9 or firm >= 2 or follows:
+                    want[x["node"], y["node"]] = (
+                        sim, w, len(both("names")), len(both("anchors")), firm, gap, len(both("actions")), bool(x["anchors"] and y["anchors"]), bool(both("words") & {"w4", "w9"}), x["roundup"] or y["roundup"],
+                        x["key"] == y["key"], x["source"] is not None and x["source"] == y["source"], x["source_group"] == y["source_group"], follows,
+                    )
+    assert {tuple(x)[:2]: tuple(x)[2:] for x in stories.compared(df, r).collect()} == want and len(want) > 500
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert {tuple(x)[:2]: tuple(x)[2:] for x in stories.compared(df, r).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "Join" not in stories.compared(df, r)._jdf.queryExecution().executedPlan().toString()
