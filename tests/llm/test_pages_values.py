@@ -286,3 +286,23 @@ def test_long_consent_lines():
     short = "We use cookies to measure visits."
     assert boilerplate._is_consent(short) and boilerplate._is_consent(" ".join([short, "You may withdraw consent at any time in the settings of this page."] * 6))
     assert not boilerplate._is_consent("The council said that cookies were handed out. " + "It then met for hours and decided on the bridge over the river. " * 4)
+
+
+def test_verdicts_do_not_depend_on_the_length_of_lists(spark):
+    """Lists paired whole and lists paired by last words give the same verdicts; unverified last words alone give none."""
+    rng = random.Random(23)
+    words = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in "nrst"]
+    texts = []
+    for story in range(12):
+        base = [rng.choice(words) for _ in range(40)]
+        for _ in range(9):
+            own = [rng.choice(words) if i > 5 and rng.random() < 0.3 else w for i, w in enumerate(base)]
+            cut = rng.randint(8, 39)
+            texts.append(" ".join(own) + "." if rng.random() < 0.5 else " ".join([*base[:cut], base[cut][: rng.randint(1, 3)]]))
+    texts += [t[:-1] + ", ..." for t in texts[:10]]
+    seen = []
+    for limit in (1, 3, 10**6):
+        c = truncation.Closing(long_list=limit, similarity=0.8)
+        read = spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "v bigint, text string").mapInArrow(truncation._read(c), truncation._READ).filter("v is not null")
+        seen.append({tuple(r) for r in truncation._alignments(read, c).collect()})
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 20
