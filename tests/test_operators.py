@@ -175,3 +175,34 @@ def test_titles_that_share_a_word_are_no_candidates(spark):
     met = events.met_postings(post, 36 * 3_600_000_000, F.ceil((F.col("p.n") + F.col("q.n")) * 0.375))
     assert [tuple(r) for r in met.collect()] == [(5000, 5001)]
     assert [tuple(r) for r in events.similar_nodes(nodes, 0.6, 36).collect()] == [(5000, 5001, 0.6)]
+
+
+def test_sweep_of_hashed_sets_loses_no_pair(spark):
+    """Sets of a hot cell are dealt out, one is longer than its bits, some last for several cells: pairs are those of all pairs, each once."""
+    import random
+
+    random.seed(5)
+    width, day = 10, 40
+    rows = [(i, random.choice([1, 2]), t, t + random.choice([0, 0, 3, 95]), random.sample(range(-9, 9), random.randint(1, 6))) for i in range(400) for t in [random.choice([17, random.randrange(-day, 3 * day)])]]
+    rows += [(900, 1, 5, 5, list(range(3000))), (901, 1, 6, 6, list(range(2, 3001)))]
+    sets = spark.createDataFrame(rows, "node bigint, gh bigint, t0 bigint, t1 bigint, x array<bigint>").selectExpr("node", "gh", "t0", "t1", "transform(x, v -> xxhash64(v)) as h")
+    want = set()
+    for i, g, s0, s1, a in rows:
+        for j, h, v0, v1, b in rows:
+            if i < j and g == h and v0 - s1 <= width and s0 - v1 <= width and len({*a} & {*b}) >= 0.6 * len({*a} | {*b}):
+                want.add((i, j))
+    for hot in (20_000, 7):
+        got = [(r["a"], r["b"]) for r in events.near_sets(sets, 0.6, width, hot).collect()]
+        assert len(want) > 100 and set(got) == want and len(got) == len(want)
+    assert events.near_sets(sets.limit(0), 0.6, width).count() == 0
+
+
+def test_like_titles_are_found_without_postings(spark):
+    """The words are not joined with each other: no shuffle of the search has the rows of postings."""
+    rows = [(i, "x", 3_600_000_000 * i, [f"w{i % 7}", "shared", f"v{i}"]) for i in range(300)]
+    nodes = spark.createDataFrame(rows, "node long, g string, t0 long, w array<string>").selectExpr("node", "xxhash64(g, w) as s", "g", "w", "t0", "t0 as t1")
+    sets = nodes.selectExpr("node", "xxhash64(g) as gh", "t0", "t1", "transform(w, v -> xxhash64(v)) as h")
+    plan = events.near_sets(sets, 0.5, 36 * 3_600_000_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "explode(h" not in plan
+    got = {(r["a"], r["b"]) for r in events.similar_nodes(nodes, 0.5, 36).collect()}
+    assert got == {(i, j) for i in range(300) for j in range(i + 1, min(300, i + 37)) if i % 7 == j % 7}
