@@ -39,3 +39,19 @@ def test_readers_and_names_beyond_ascii(spark, tmp_path):
     assert rss == {(t, f"http://x.org/{i}", 1) for i, t in enumerate(TITLES)}
     listed = {(r["title"], r["summary"], r["byline"], json.dumps(r["source_tags"])) for r in queries.QUERIES["json_round_trip_all"](spark, folder).collect()}
     assert listed == {(t, f"{t} am Abend", "Jörg Ås", '["tag"]') for t in TITLES}
+
+
+def test_equal_titles_are_not_matched_by_characters(monkeypatch):
+    """Pairs of equal titles, most of `merge_decisions`, are 1.0 at once, as the matcher finds, however long."""
+    import difflib
+
+    import pyarrow as pa
+
+    from newsloom.functions import text
+
+    ratio = lambda x, y: text.sequence_ratio.func(pa.array([x]), pa.array([y])).to_pylist()
+    long_ = "a" * 300
+    assert ratio(long_, long_) == [difflib.SequenceMatcher(None, long_, long_).ratio()] == [1.0]
+    assert ratio("abc", "abd") == [difflib.SequenceMatcher(None, "abc", "abd").ratio()]
+    monkeypatch.delattr(difflib, "SequenceMatcher.ratio")
+    assert ratio("harbor opens", "harbor opens") == [1.0] and ratio(None, "") == [1.0]
