@@ -11,6 +11,7 @@ from newsloom.functions import text
 from newsloom.operators import events
 from newsloom.operators import relational as rel
 from newsloom.plans import rules
+from newsloom.runtime import pin_table
 
 
 @dataclass(frozen=True)
@@ -44,12 +45,14 @@ def item_events(items: DataFrame, pack: rules.RulePack, drop: dict[str, Column],
 
     Reports with the same title words that follow one another are one node; nodes are grouped.
     items has the ingested columns with ingest_seq and fetched_at. An event's main item is its best
-    ranked, then earliest; events order by sources, items and main item.
+    ranked, then earliest; events order by sources, items and main item. What is kept and the candidates are
+    written, since several steps read them.
     """
     once = rel.first_wins(items, [F.lower(text.squeeze(text.missing_as_empty(F.col("title")))), text.first_non_empty(F.col("canonical_url"), F.col("source_url"))], [F.col("ingest_seq")])
     kept, rejected = sifted(once, {"no title": text.missing_as_empty(F.col("title")) == "", **drop})
-    named = rules.classified(kept, "ingest_seq", ["title", "summary", "section"], "source_id", "section", pack)
-    candidates = kept.join(named, "ingest_seq").select("ingest_seq", "source_id", "title", "fetched_at", "rank_position", "bucket", "decided_by", "tags")
+    own = pin_table(kept.select("ingest_seq", "source_id", "title", "summary", "section", "fetched_at", "rank_position"))
+    named = rules.classified(own, "ingest_seq", ["title", "summary", "section"], "source_id", "section", pack)
+    candidates = pin_table(own.join(named, "ingest_seq").select("ingest_seq", "source_id", "title", "fetched_at", "rank_position", "bucket", "decided_by", "tags"))
     nodes, members = events.title_nodes(candidates, "ingest_seq", "title", "bucket", "fetched_at", settings.hours)
     edges = events.similar_nodes(nodes, settings.similarity, settings.hours)
     joined = events.first_fit(nodes, edges, "node", [F.col("t0")])

@@ -68,3 +68,12 @@ def test_pipeline(spark):
     ranking = [(r["main_id"], r["n_items"], r["bucket"], r["place"]) for r in out.ranking.orderBy("place").collect()]
     assert ranking == [(2, 2, "energy", 1), (3, 1, "energy", 2), (4, 1, "policy", 3)]
     assert pipeline.item_events(df.limit(0), PACK, {}).ranking.count() == 0
+
+
+def test_plan_reads_its_items_once(spark):
+    """Deduplicated and classified items are written, so no later step repeats either."""
+    rows = [(i, f"s{i % 2}", f"title number {i // 2}", "", "", "", "", "", 1) for i in range(6)]
+    schema = "ingest_seq bigint, source_id string, title string, summary string, section string, canonical_url string, source_url string, fulltext_status string, rank_position int"
+    df = spark.createDataFrame(rows, schema).withColumn("fetched_at", F.timestamp_seconds(F.col("ingest_seq") * 60))
+    plan = pipeline.item_events(df, PACK, {}).candidates._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
