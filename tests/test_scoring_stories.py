@@ -183,3 +183,12 @@ def test_sweep_compares_as_all_pairs(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert "Join" not in stories.compared(df, r)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_are_hashed_before_any_shuffle(spark):
+    """Words and names go through the window and to the cells as hashes, so no shuffle of the sweep carries strings."""
+    x = spark.createDataFrame([(1, "g", 0, 0, "s", "grp", "Kelfen reopened the ferry", "")], "node bigint, g string, t0 bigint, t1 bigint, source string, source_group string, title string, summary string")
+    rules = stories.StoryRules()
+    plan = stories.compared(stories.features(x, "title", "summary", rules).drop("title", "summary"), rules)._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.split("\n") if " Window [" in line or line.startswith("Window ["))
+    assert "gh#" in window and " g#" not in window
