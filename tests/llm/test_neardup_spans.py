@@ -85,6 +85,24 @@ def test_odds_of_finding_a_link():
         assert (met >= s.match).mean() > odds
 
 
+def test_unlike_texts_leave_few_rows_in_the_merge():
+    """Collisions of unlike texts grow with the square of the texts, so nearly all must end before the shuffle; lists that span batches are whole."""
+    import numpy as np
+    import pyarrow as pa
+
+    random.seed(12)
+    words = ["".join(random.choice("aeiou" if i % 2 else "bdklmnrst") for i in range(random.randint(4, 8))) for _ in range(250)]
+    texts = [" ".join(random.choice(words) for _ in range(35)) for _ in range(3000)]
+    s = neardup.Signature()
+    post = pa.Table.from_batches(neardup._postings(s)(iter([pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc", "text"])])))
+    post = post.take(pa.array(np.argsort(post["key"].to_numpy(), kind="stable"))).combine_chunks()
+    size = np.unique(post["key"].to_numpy(), return_counts=True)[1].astype(np.int64)
+    rows = lambda n: sorted((r["a"], r["b"], r["met"]) for b in neardup._merge(s)(iter(post.to_batches(max_chunksize=n))) for r in b.to_pylist() if r["a"] is not None)
+    found = rows(10_000)
+    assert found == rows(777)
+    assert len(found) < 0.01 * (size * (size - 1) // 2).sum()
+
+
 def test_story_text(spark):
     df = spark.createDataFrame([("Ａ—b's  “X”", None), (None, "é_1")], "t string, s string")
     from pyspark.sql import functions as F
