@@ -84,6 +84,20 @@ def test_similar_titles_match_brute_force(spark):
     assert got == pairs
 
 
+def test_words_of_titles_stay_out_of_sums_and_order(spark, monkeypatch):
+    """Only a hash goes through the sums; an id that came twice keeps a node for each of its titles, as in SQL."""
+    plans, pin = [], events.pin_table
+    monkeypatch.setattr(events, "pin_table", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), pin(df))[1])
+    rows = [(1, "alpha beta", "x", 0.0), (1, "beta alpha", "x", 0.0), (1, "gamma delta", "x", 0.0), (2, "beta, alpha", "x", 60.0), (3, "alpha beta", None, 0.0), (4, "alpha beta", "x", 1e6)]
+    df = spark.createDataFrame(rows, "id bigint, title string, g string, s double").withColumn("at", F.timestamp_seconds("s"))
+    nodes, members = events.title_nodes(df, "id", "title", "g", "at", 20)
+    got = sorted((r["node"], r["g"] or "", tuple(r["w"]), r["t0"], r["t1"]) for r in nodes.collect())
+    ab = ("alpha", "beta")
+    assert got == [(1, "x", ab, 0, 60_000_000), (1, "x", ("delta", "gamma"), 0, 0), (3, "", ab, 0, 0), (4, "x", ab, 10**12, 10**12)]
+    assert sorted((r["id"], r["node"]) for r in members.collect()) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (4, 4)]
+    assert " w#" not in plans[1]
+
+
 def test_first_and_last_wins(spark):
     df = spark.createDataFrame([(1, "a", 5), (2, "a", 3), (3, None, 1), (4, None, 2), (5, "b", 1)], "id int, k string, o int")
     assert {r["id"] for r in rel.first_wins(df, [F.col("k")], [F.col("o")]).collect()} == {2, 3, 5}
