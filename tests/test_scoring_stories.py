@@ -192,3 +192,29 @@ def test_reports_are_hashed_before_any_shuffle(spark):
     plan = stories.compared(stories.features(x, "title", "summary", rules).drop("title", "summary"), rules)._jdf.queryExecution().optimizedPlan().toString()
     window = next(line for line in plan.split("\n") if " Window [" in line or line.startswith("Window ["))
     assert "gh#" in window and " g#" not in window
+
+
+def test_features_are_shuffled_only_to_their_nodes_and_cells(spark, tmp_path, monkeypatch):
+    """Reports know the one before them by hashes alone: titles' words are not written for the nodes, no window carries features, and pairs are those of the window over all of them."""
+    title = lambda i: ["Zorvik Works opened the ferry", "Zorvik Works opened a ferry!", "The ferry opened Zorvik works"][i % 3]
+    rows = [(i, title(i) if i % 5 else None, f"Kelfen and Bordak sued {i % 4}", "s" if i % 2 else "t", "x" if i % 7 else None, 1_700_000_000 + 11 * 3600 * (i * i % 31)) for i in range(60)]
+    rows += [(100 + i, "Harbor Trust opened a bridge", "", "s", "y", 1_700_000_000 + 30 * 3600 * i) for i in range(9)]  # one long report
+    rows += [(200 + i, f"Harbor Trust opened {w} bridge", "", "s", "y", 1_700_000_000 + 50 * 3600 * (i + 1)) for i, w in enumerate(["the", "an", "on the"])]
+    items = spark.createDataFrame(rows, "ingest_seq bigint, title string, summary string, source_id string, section string, at bigint").withColumn("fetched_at", F.timestamp_seconds("at").cast("timestamp_ntz"))
+    items.write.parquet(str(tmp_path / "raw_items.parquet"))
+    spark.createDataFrame([("s", "media")], "id string, source_group string").write.parquet(str(tmp_path / "source_catalog.parquet"))
+    plans, pin = [], events.pin_table
+    monkeypatch.setattr(events, "pin_table", lambda df: (plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString())), pin(df))[1])
+    f, _, _ = event_queries._stories(spark, str(tmp_path))
+    assert plans and all("w" not in columns for columns, _ in plans)
+    assert "Window" not in stories.compared(f, event_queries.STORIES)._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(map(tuple, stories.compared(f, event_queries.STORIES).collect()))
+    assert got == sorted(map(tuple, stories.compared(f.drop("before"), event_queries.STORIES).collect())) and any(x[-1] for x in got)
+
+
+def test_a_report_follows_the_last_one_even_out_of_reach(spark):
+    """The one before in time decides: where it is out of reach, an earlier one that lasts longer is not followed."""
+    hour = 3_600_000_000
+    rows = [(1, 7, 7, 0, 100 * hour), (2, 7, 7, 10 * hour, 10 * hour), (3, 7, 7, 90 * hour, 90 * hour), (4, 7, 8, 91 * hour, 91 * hour), (5, 7, 7, 92 * hour, 92 * hour)]
+    df = spark.createDataFrame(rows, "node bigint, gh bigint, key bigint, t0 bigint, t1 bigint")
+    assert {r["node"]: r["before"] for r in stories.followed(df, 36).collect()} == {1: -(2**63), 2: 1, 3: -(2**63), 4: -(2**63), 5: 3}
