@@ -55,3 +55,48 @@ def test_equal_titles_are_not_matched_by_characters(monkeypatch):
     assert ratio("abc", "abd") == [difflib.SequenceMatcher(None, "abc", "abd").ratio()]
     monkeypatch.delattr(difflib.SequenceMatcher, "ratio")
     assert ratio("harbor opens", "harbor opens") == [1.0] and ratio(None, "") == [1.0]
+
+
+def test_ratio_of_short_texts_is_the_matchers(monkeypatch):
+    """Texts of any kind get what the matcher gives, which only long ones are left to."""
+    import difflib
+    import random
+
+    from newsloom.functions import text
+
+    random.seed(3)
+    cases = [("", "a"), ("a", ""), ("abxcd", "abcd"), ("a" * 198, "a" * 199)]
+    for _ in range(3000):
+        letters = random.choice(["ab", "abcdefgh ", "aб云𐍈z "])
+        cases.append(tuple("".join(random.choices(letters, k=random.randint(0, random.choice([4, 20, 70])))) for _ in range(2)))
+    for _ in range(20):
+        cases.append(tuple("".join(random.choices("abcde ", k=random.randint(190, 210))) for _ in range(2)))
+    want = [difflib.SequenceMatcher(None, x, y).ratio() for x, y in cases]
+    assert [text.matching_ratio(x, y) for x, y in cases] == want
+    monkeypatch.delattr(difflib.SequenceMatcher, "ratio")
+    assert [text.matching_ratio(x, y) for x, y in cases[:1000]] == want[:1000]
+
+
+def test_words_are_runs_of_letters(spark):
+    """The words taken at once are those of `plain_words` parted at blanks."""
+    from pyspark.sql import functions as F
+
+    from newsloom.functions import text
+
+    titles = [*TITLES, "", " ", "a b cd", "A-b. 42 x7, 4", "渡 轮船 x渡", "cd CD cd ef", "İstanbul ẞ Straße", None]
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    for least in (1, 2, 3):
+        parted = F.array_distinct(F.filter(F.split(text.plain_words(F.col("t")), " "), lambda w: F.length(w) >= least))  # noqa: B023
+        assert all(r[0] == r[1] for r in df.select(text.word_array(F.col("t"), least), parted).collect())
+
+
+def test_titles_of_few_pairs_are_not_shuffled(spark, tmp_path):
+    """Only the titles that a pair names are written and joined; titles themselves are neither shuffled nor sorted."""
+    rows = [(i, "harbor bridge opens in the north" + (" today" if i % 2 else " now"), "x", 1_700_000_000 + 3600 * i) for i in range(4)] + [(10 + i, f"title {i} w{i} v{i}", "x", 1_700_000_000) for i in range(50)]
+    from pyspark.sql import functions as F
+
+    spark.createDataFrame(rows, "ingest_seq bigint, title string, section string, at bigint").withColumn("fetched_at", F.timestamp_seconds("at").cast("timestamp_ntz")).write.parquet(str(tmp_path / "raw_items.parquet"))
+    found = queries.QUERIES["title_ratio"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "raw_items" not in plan
+    assert [(r["a"], r["b"]) for r in found.collect()] == [(0, 1)] and abs(found.first()["ratio"] - 2 * 33 / 71) < 0.05
