@@ -1,3 +1,4 @@
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -93,6 +94,30 @@ def test_pairs_are_found_without_a_loss(spark):
     assert stories.decisions(f.limit(0), r).count() == 0
 
 
+def test_rounds_of_first_fit_keep_no_estimates(spark, monkeypatch):
+    """Each round is written as a table of known size, so the optimizer's estimates do not grow with the rounds; only the last table of labels is left."""
+    pins = {n: getattr(events, n) for n in ("pin", "pin_table") if hasattr(events, n)}
+    bits, kept = [], []
+
+    def spy(pinned):
+        def run(df):
+            bits.append(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())).bit_length())
+            kept.append(pinned(df))
+            return kept[-1]
+
+        return run
+
+    for n, f in pins.items():
+        monkeypatch.setattr(events, n, spy(f))
+    chain = spark.range(70).select("id", F.col("id").alias("t"))
+    links = spark.range(1, 70).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
+    assert events.first_fit(chain, links, "id", [F.col("t")]).filter("bucket <> 0").count() == 0
+    assert len(bits) > 7 and max(bits) < 300
+    labels = [df for df in kept if df.columns == ["later", "l"]]
+    left = [os.path.exists(df.inputFiles()[0].removeprefix("file://")) for df in labels]
+    assert left[-1] and not any(left[:-1])
+
+
 def test_kept_candidates_match_a_fold(spark):
     random.seed(4)
     rows = [(i, random.choice("abcd"), random.choice(["u1", "u2", "u3", "u4", f"v{i}", "", None]), random.choice(["k1", "k2", f"t{i}", "", None]), random.randrange(5)) for i in range(120)]
