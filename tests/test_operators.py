@@ -220,3 +220,22 @@ def test_like_titles_are_found_without_postings(spark):
     assert plan.count("MapInArrow") == 1 and "explode(h" not in plan
     got = {(r["a"], r["b"]) for r in events.similar_nodes(nodes, 0.5, 36).collect()}
     assert got == {(i, j) for i in range(300) for j in range(i + 1, min(300, i + 37)) if i % 7 == j % 7}
+
+
+def test_texts_of_a_ratio_are_met_by_their_pairs_of_characters(spark):
+    """No two texts whose matching-blocks ratio reaches the bound are lost, whichever comes first; most others are not met."""
+    import difflib
+
+    random.seed(6)
+    texts = ["".join(random.choices("abc d渡", k=random.randint(1, 9))) for _ in range(60)] + ["".join(random.choices("abcdefghijklmno ", k=50)) for _ in range(40)]
+    for _ in range(60):
+        t = list("harbor bridge opens in the north of kelfen today")
+        for _ in range(random.randint(0, 8)):
+            t[random.randrange(len(t))] = random.choice(["", "x", "yz"])
+        texts.append("".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, t string").select("node", F.lit(1).cast("long").alias("gh"), F.lit(0).cast("long").alias("t0"), F.lit(0).cast("long").alias("t1"), events.gram_bits("t").alias("g"))
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    for least in (0.78, 0.9):
+        want = {(a, b) for b in range(len(texts)) for a in range(b) if max(ratio(texts[a], texts[b]), ratio(texts[b], texts[a])) >= least}
+        got = {tuple(r) for r in events.near_sets(df.select("node", "gh", "t0", "t1", "g.*"), width=5, fold=4, **events.like_texts(least)).collect()}
+        assert want <= got and len(want) > 50 and len(got) < 0.5 * len(texts) ** 2 / 2

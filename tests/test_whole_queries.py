@@ -100,3 +100,34 @@ def test_titles_of_few_pairs_are_not_shuffled(spark, tmp_path):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and "raw_items" not in plan
     assert [(r["a"], r["b"]) for r in found.collect()] == [(0, 1)] and abs(found.first()["ratio"] - 2 * 33 / 71) < 0.05
+
+
+def test_merge_decisions_are_those_of_all_pairs(spark, tmp_path):
+    """Every pair that a rule merges is told, over sections, sources and other spellings, whoever came first, and the refused ones of one address or like words."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from newsloom import event_queries as q
+    from newsloom.functions import text
+    from newsloom.operators import stories
+    from newsloom.plans import rules
+
+    random.seed(8)
+    heads = ["Kelfen Harbor Trust opens the northern tunnel today", "Kelfen Harbor Trust open the northern tunnels today", "kelfenharbor trust opens the northerntunnel today", "Senate of Bordak and Zorvik Works refuse a treaty", "Zorvik Works, Bordak: a treaty is refused in the Senate", "Москва", "Ж", "", "Port", "Ports", "A quite different story about cats"]
+    rows = [(i, random.choice(heads), random.choice(["", "the tunnel is open and the trust is glad", "a treaty is refused"]), random.choice(["s", "t", "u", None]), random.choice(["x", "y", None]), random.choice(["http://h.org/1", "http://h.org/2", f"http://h.org/{i}", f"http://k.org/{i}", ""]), 1_700_000_000 + 3600 * random.randrange(0, 300, 7) if i % 11 else None) for i in range(130)]
+    items = spark.createDataFrame(rows, "ingest_seq bigint, title string, summary string, source_id string, section string, canonical_url string, at bigint").withColumns({"fetched_at": F.timestamp_seconds("at").cast("timestamp_ntz"), "source_url": F.lit("")})
+    items.write.parquet(str(tmp_path / "raw_items.parquet"))
+    e = text.missing_as_empty
+    title = e(F.col("title"))
+    own = {
+        "source": F.col("source_id"), "url": text.page_identity(F.col("canonical_url")), "plain": text.plain_title(title), "host": text.host(F.col("canonical_url")), "words": text.word_array(F.concat(title, F.lit(" "), F.col("summary")), 3),
+        "names": rules.entities(title), "tag": F.coalesce(F.get(rules.soft_tags(title, q._TAGS), F.lit(0))["tag"], F.lit("")), "at": F.col("fetched_at").cast("timestamp"), "w": text.word_array(title, 2),
+    }
+    side = lambda i, n: items.select(F.col("ingest_seq").alias(i), F.struct(*(c.alias(k) for k, c in own.items())).alias(n))
+    near = F.abs(F.unix_micros("l.at") - F.unix_micros("r.at")) <= 48 * 3_600_000_000
+    asked = (F.col("l.url") != "") & (F.col("l.url") == F.col("r.url")) | near & (text.jaccard(F.col("l.w"), F.col("r.w")) >= 0.5)
+    every = stories.merges(side("a", "l").crossJoin(side("b", "r")).filter("a < b")).filter(F.col("merges") | asked)
+    want = sorted(map(tuple, every.select("a", "b", "merges", "reason", "confidence").collect()))
+    got = sorted(map(tuple, q.merge_decisions(spark, str(tmp_path)).collect()))
+    assert got == want and len({x[3] for x in want}) >= 6
